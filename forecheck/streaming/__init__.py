@@ -1,0 +1,7 @@
+"""Streaming: nothing to build.
+
+The workload is one batch report over warehouse tables. It has no stream
+source, watermark, event-time window or stateful operator, so no Structured
+Streaming job exists here. The batch operators are plain DataFrame functions
+and can be applied inside ``foreachBatch`` if the inputs ever arrive as a stream.
+"""
