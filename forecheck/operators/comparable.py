@@ -80,27 +80,33 @@ def _this_year_summary(ty: DataFrame, qty: str, on_hand: str) -> DataFrame:
     return agg.where(F.col("selling_rows") > 0).drop("selling_rows")
 
 
-def comparable_products(ty: DataFrame, ly: DataFrame, band: tuple[float, float],
-                        min_frequency: float = 0.3, min_on_hand: float = 100.0,
-                        on_hand: str = "as_written", ty_qty: str = "qty_ty",
-                        ly_qty: str = "qty_ly") -> DataFrame:
-    """Product codes comparable between two years (one column, distinct).
+def comparable_candidates(ty: DataFrame, ly: DataFrame, on_hand: str = "as_written",
+                          ty_qty: str = "qty_ty", ly_qty: str = "qty_ly") -> DataFrame:
+    """Per product sold in both years: the figures the comparability rules test.
 
-    Criteria, all on selling weeks (qty > 0):
-    * selling weeks / last year's distinct selling weeks >= ``min_frequency``
-      for both years (last year's denominator for both);
-    * this year's units within ``band`` x last year's units;
-    * stock above ``min_on_hand`` (see ``_this_year_summary`` for the two
-      readings of "most recent").
+    Frequencies use last year's distinct selling weeks as the denominator for
+    both years. Output: product_code, total_units_ty, total_units_ly,
+    most_recent_oh, sales_freq_ty, sales_freq_ly (one row per product).
     """
     t = _this_year_summary(ty, ty_qty, on_hand)
     l = (selling_summary(ly, ly_qty)
          .select("product_code", F.col("total_units").alias("total_units_ly"),
                  F.col("weeks_with_sales").alias("weeks_with_sales_ly"),
                  F.col("total_weeks").alias("total_weeks_ly")))
-    cand = (t.join(l, "product_code")
-            .withColumn("sales_freq_ty", F.col("weeks_with_sales_ty") / F.col("total_weeks_ly"))
-            .withColumn("sales_freq_ly", F.col("weeks_with_sales_ly") / F.col("total_weeks_ly")))
+    return (t.join(l, "product_code")
+            .select("product_code", "total_units_ty", "total_units_ly", "most_recent_oh",
+                    (F.col("weeks_with_sales_ty") / F.col("total_weeks_ly")).alias("sales_freq_ty"),
+                    (F.col("weeks_with_sales_ly") / F.col("total_weeks_ly")).alias("sales_freq_ly")))
+
+
+def comparable_filter(cand: DataFrame, band: tuple[float, float], min_frequency: float = 0.3,
+                      min_on_hand: float = 100.0) -> DataFrame:
+    """Product codes passing all rules (one column, distinct).
+
+    * selling frequency >= ``min_frequency`` in both years;
+    * this year's units within ``band`` x last year's units;
+    * stock above ``min_on_hand``.
+    """
     lo, hi = band
     return (cand.where((F.col("sales_freq_ly") >= F.lit(float(min_frequency)))
                        & (F.col("sales_freq_ty") >= F.lit(float(min_frequency)))
@@ -108,3 +114,13 @@ def comparable_products(ty: DataFrame, ly: DataFrame, band: tuple[float, float],
                        & (F.col("most_recent_oh") > F.lit(float(min_on_hand))))
             .select("product_code")
             .distinct())
+
+
+def comparable_products(ty: DataFrame, ly: DataFrame, band: tuple[float, float],
+                        min_frequency: float = 0.3, min_on_hand: float = 100.0,
+                        on_hand: str = "as_written", ty_qty: str = "qty_ty",
+                        ly_qty: str = "qty_ly") -> DataFrame:
+    """Product codes comparable between two years (one column, distinct):
+    ``comparable_candidates`` then ``comparable_filter``."""
+    return comparable_filter(comparable_candidates(ty, ly, on_hand, ty_qty, ly_qty),
+                             band, min_frequency, min_on_hand)

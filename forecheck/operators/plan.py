@@ -37,7 +37,14 @@ def align_plan_years(base: DataFrame, bridge: DataFrame, working: DataFrame,
     wp, qty_ly, qty_lly, aur_lly, aur_ly.
     """
     keys3 = ["channel", "hierarchy_code", "fiscal_year_week"]
-    a = base.alias("a")
+    # The snapshot is small and the joins below fan it out (SKUs per code times
+    # prior-year scenarios), so spread it over the session's shuffle
+    # parallelism first: an explicit count is not coalesced by adaptive
+    # execution, and hashing on the snapshot's own key (about one row per key)
+    # cannot concentrate rows. A later DISTINCT over these columns reuses this
+    # partitioning instead of shuffling the fanned-out rows.
+    parts = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    a = base.repartition(parts, "hierarchy_code", "fiscal_year_week", "scenario1").alias("a")
     joined = (a.join(bridge.alias("b"), F.col("a.hierarchy_code") == F.col("b.hierarchy_code"), "left")
               .join(working.alias("c"), [F.col(f"a.{k}") == F.col(f"c.{k}") for k in keys3]
                     + [F.col("a.scenario1") == F.col("c.scenario1")], "left")

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +40,7 @@ class ForecastValidation:
         self.t = tables
         self.p = params or ReportParams()
         self.sizing = sizing
+        self._cand: dict[str, DataFrame] = {}
 
     # ---- product dimension -------------------------------------------------
     @cached_property
@@ -112,18 +114,27 @@ class ForecastValidation:
     # ---- comparable products -------------------------------------------------
     @cached_property
     def hist_ty(self) -> DataFrame:
+        """This year's weekly rows (one row per product-week; reused by several
+        steps, so kept once)."""
         return comparable.weekly_history(self.t.weekly_history, self.p.this_year, "qty_ty",
-                                         self.p.year_shift)
+                                         self.p.year_shift).persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def hist_ly(self) -> DataFrame:
         return comparable.weekly_history(self.t.weekly_history, self.p.last_year, "qty_ly",
                                          self.p.year_shift)
 
+    def comp_candidates(self, on_hand: str = "as_written") -> DataFrame:
+        """Per-product comparability figures, one row per product, kept once per
+        stock reading and shared by both tolerance bands."""
+        if on_hand not in self._cand:
+            self._cand[on_hand] = comparable.comparable_candidates(
+                self.hist_ty, self.hist_ly, on_hand).persist(StorageLevel.MEMORY_AND_DISK)
+        return self._cand[on_hand]
+
     def comparable(self, band: tuple[float, float], on_hand: str = "as_written") -> DataFrame:
-        return comparable.comparable_products(self.hist_ty, self.hist_ly, band,
-                                              self.p.min_sales_frequency, self.p.min_on_hand,
-                                              on_hand)
+        return comparable.comparable_filter(self.comp_candidates(on_hand), band,
+                                            self.p.min_sales_frequency, self.p.min_on_hand)
 
     @cached_property
     def comp_narrow(self) -> DataFrame:
