@@ -79,8 +79,11 @@ class ForecastValidation:
 
     @cached_property
     def aligned(self) -> DataFrame:
-        return plan.align_plan_years(self.plan_base, self.bridge, self.plan_wp,
-                                     self.plan_ly, self.plan_lly)
+        # the working and prior-year snapshots cover one channel and one plan
+        # year: size-checked, so the fanned-out plan rows stream past them
+        side = lambda df: small_side(df, self.sizing)
+        return plan.align_plan_years(self.plan_base, self.bridge, side(self.plan_wp),
+                                     side(self.plan_ly), side(self.plan_lly))
 
     @cached_property
     def forecast_norm(self) -> DataFrame:
@@ -92,7 +95,11 @@ class ForecastValidation:
         selling = self.hist_ty.where(F.col("qty_ty") > 0)
         new = self.t.simulation.where(
             F.col("algorithm_name").isin(list(self.p.new_product_algorithms)))
-        return plan.validation_flags(self.aligned, self.forecast_norm,
+        # only forecast rows of the plan weeks can match a plan row
+        weeks = self.p.plan_weeks
+        fc = self.forecast_norm.where(
+            F.col("fiscal_year_week").between(weeks.lo, min(weeks.hi, self.p.plan_cutoff)))
+        return plan.validation_flags(self.aligned, small_side(fc, self.sizing),
                                      codes(self.comp_narrow), codes(self.comp_wide),
                                      codes(selling), codes(new), self.p.plan_cutoff)
 

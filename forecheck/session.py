@@ -8,8 +8,14 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # settings the jobs rely on: adaptive execution (partition coalescing, skew
-# splitting, runtime join re-planning) and no web UI
+# splitting, runtime join re-planning) and no web UI.
+# Static broadcast planning is off: its size comes from compressed file sizes,
+# which do not bound the in-memory size. Broadcasts then happen only where an
+# operator counted the side (operators.relational.small_side) or where adaptive
+# execution measured a finished shuffle below the adaptive threshold.
 RECOMMENDED_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
