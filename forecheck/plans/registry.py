@@ -53,7 +53,7 @@ def _report_export(r: ForecastValidation) -> DataFrame:
     spark = r.t.spark
     base = shared_subdir(spark, "exports", uuid.uuid4().hex)
     path = sinks.report_path(base, dt.datetime.now(dt.timezone.utc))
-    sinks.export_report(r.rollup(), path, "parquet")
+    sinks.export_with_profile(r.rollup(), path, "parquet")
     return spark.read.parquet(path)
 
 

@@ -19,6 +19,12 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # target ~128 MB per post-shuffle partition; on a cluster set
+    # spark.sql.shuffle.partitions high (input bytes / 128 MB) and let AQE
+    # coalesce the small stages down
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    # let AQE coalesce the partitions of persisted (size-checked) small sides
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",

@@ -6,7 +6,7 @@ import datetime as dt
 import os
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 # fixed values: report name stem and the time zone of the dated file name
@@ -42,3 +42,11 @@ def run_profile(df: DataFrame) -> DataFrame:
     """One row: the report's row count and column count."""
     return df.agg(F.count(F.lit(1)).alias("row_count")).select(
         "row_count", F.lit(len(df.columns)).alias("column_count"))
+
+
+def export_with_profile(df: DataFrame, path: str, fmt: str = "csv") -> tuple[int, int]:
+    """Write the report and return (rows, columns) counted during the same
+    write through an observation, so the report is not read twice."""
+    obs = Observation("report_profile")
+    export_report(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, fmt)
+    return int(obs.get["rows"]), len(df.columns)

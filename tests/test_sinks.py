@@ -19,3 +19,10 @@ def test_export_and_profile(spark):
     sinks.export_report(df, path, "csv")
     back = spark.read.option("header", True).csv(path)
     assert back.columns == ["k", "v"] and back.count() == 2
+
+
+def test_export_with_profile_counts_during_write(spark):
+    df = spark.range(7).selectExpr("id", "id * 2 AS twice")
+    path = os.path.join(shared_subdir(spark, "test-exports", uuid.uuid4().hex), "out")
+    assert sinks.export_with_profile(df, path, "parquet") == (7, 2)
+    assert spark.read.parquet(path).count() == 7
