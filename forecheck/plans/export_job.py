@@ -21,6 +21,7 @@ from forecheck.config import ReportParams
 from forecheck.plans.report import ForecastValidation
 from forecheck.session import build_session
 from forecheck.sources import sinks
+from forecheck.sources.staging import staged_tables
 from forecheck.sources.tables import Tables
 
 
@@ -34,14 +35,21 @@ def main(argv: list[str] | None = None) -> str:
     ap.add_argument("--format", default="csv", choices=("csv", "parquet"))
     ap.add_argument("--as-of", help="report date YYYY-MM-DD (default: parameter default)")
     ap.add_argument("--master", help="Spark master (default: from spark-submit)")
+    ap.add_argument("--stage", action="store_true",
+                    help="with --sf-dir: materialize the role tables once (week-partitioned) "
+                         "under the shared checkpoint folder and read them from there")
     args = ap.parse_args(argv)
 
     spark = build_session(args.master, app_name="forecheck-export")
     if args.table:
         report = spark.table(args.table)
     else:
-        tables = (Tables.from_driver_tables(spark, args.sf_dir) if args.sf_dir
-                  else Tables.from_catalog(spark, json.loads(args.roles)))
+        if args.sf_dir and args.stage:
+            tables = staged_tables(spark, args.sf_dir)
+        elif args.sf_dir:
+            tables = Tables.from_driver_tables(spark, args.sf_dir)
+        else:
+            tables = Tables.from_catalog(spark, json.loads(args.roles))
         params = ReportParams()
         if args.as_of:
             params = ReportParams(as_of=dt.date.fromisoformat(args.as_of))
