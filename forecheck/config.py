@@ -86,11 +86,13 @@ class Sizing:
     """Size bounds used before hinting a broadcast.
 
     A side is broadcast only after its row count was checked against
-    ``broadcast_max_rows``; larger sides fall back to a shuffle join (with AQE
-    skew splitting).
+    ``broadcast_max_rows`` and its estimated size (rows x schema row width)
+    against ``broadcast_max_bytes``; larger sides fall back to a shuffle join
+    (with AQE skew splitting).
     """
 
     broadcast_max_rows: int = 1_000_000
+    broadcast_max_bytes: int = 64 * 1024 * 1024
 
 
 DEFAULT_SIZING = Sizing()

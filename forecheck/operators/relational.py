@@ -25,9 +25,21 @@ def _fresh(prefix: str) -> str:
     return f"__{prefix}_{next(_ids)}"
 
 
+# estimated in-memory bytes per value, by type name (strings: a generous
+# average for codes and names; unknown types count as wide)
+_WIDTH = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "date": 4, "float": 4,
+          "long": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8, "string": 48}
+
+
+def row_width(df: DataFrame) -> int:
+    """Estimated bytes per row of ``df`` (row header plus one slot per column)."""
+    return 16 + sum(_WIDTH.get(f.dataType.typeName(), 64) for f in df.schema.fields)
+
+
 def small_side(df: DataFrame, sizing: Sizing = DEFAULT_SIZING) -> DataFrame:
     """Persist a small join side, count it, and hint a broadcast only when the
-    count is within ``sizing.broadcast_max_rows``.
+    count is within ``sizing.broadcast_max_rows`` and the estimated size
+    (count x ``row_width``) within ``sizing.broadcast_max_bytes``.
 
     Above the bound the frame is returned unhinted and the join shuffles both
     sides (adaptive execution still splits skewed partitions). The persisted
@@ -36,7 +48,9 @@ def small_side(df: DataFrame, sizing: Sizing = DEFAULT_SIZING) -> DataFrame:
     """
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     rows = kept.count()
-    return F.broadcast(kept) if rows <= sizing.broadcast_max_rows else kept
+    fits = (rows <= sizing.broadcast_max_rows
+            and rows * row_width(kept) <= sizing.broadcast_max_bytes)
+    return F.broadcast(kept) if fits else kept
 
 
 def bounded_broadcast(df: DataFrame) -> DataFrame:

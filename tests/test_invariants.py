@@ -66,3 +66,19 @@ def test_small_side_falls_back_to_shuffle_join(spark):
         assert "BroadcastHashJoin" not in unhinted._jdf.queryExecution().sparkPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_small_side_checks_bytes_too(spark):
+    from forecheck.operators.relational import row_width
+
+    side = spark.range(50).selectExpr("id AS k", "cast(id AS string) AS s")
+    assert row_width(side) == 16 + 8 + 48
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tight = Sizing(broadcast_max_rows=100, broadcast_max_bytes=50 * 72 - 1)
+        joined = spark.range(10).withColumnRenamed("id", "k").join(small_side(side, tight), "k")
+        assert "BroadcastHashJoin" not in joined._jdf.queryExecution().sparkPlan().toString()
+        assert joined.count() == 10
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
