@@ -85,9 +85,12 @@ def validation_flags(aligned: DataFrame, forecast: DataFrame, comp_narrow: DataF
     a = aligned.where(F.col("fiscal_year_week") <= cutoff)
     f = forecast.where(F.col("fiscal_year_week") <= cutoff).select(
         "product_code", "fiscal_year_week", "scenario1", F.col("qty").alias("predicted"))
+    # every flag is a function of columns already in the row, so de-duplicate
+    # first and attach the flags to the distinct rows
     final = (a.join(f, ["product_code", "fiscal_year_week", "scenario1"], "left")
              .withColumn("fiscal_year", fiscal.key_year_text("fiscal_year_week"))
-             .withColumn("fiscal_week", fiscal.key_week_text("fiscal_year_week")))
+             .withColumn("fiscal_week", fiscal.key_week_text("fiscal_year_week"))
+             .distinct())
     code = F.col("product_code")
     out = flag_in(final, code, comp_narrow, "comp_flag_30")
     out = flag_in(out, code, comp_wide, "comp_flag_50")
@@ -95,8 +98,7 @@ def validation_flags(aligned: DataFrame, forecast: DataFrame, comp_narrow: DataF
               .withColumn("predicted_flag", flag(F.col("predicted").isNotNull()))
               .withColumn("sold_week_ly", flag(F.col("qty_ly").isNotNull())))
     out = flag_in(out, code, selling_products, "product_with_sales")
-    out = flag_in(out, code, new_products, "new_prod_flag")
-    return out.distinct()
+    return flag_in(out, code, new_products, "new_prod_flag")
 
 
 def validated_discounts(df: DataFrame) -> DataFrame:
