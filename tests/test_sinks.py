@@ -26,3 +26,21 @@ def test_export_with_profile_counts_during_write(spark):
     path = os.path.join(shared_subdir(spark, "test-exports", uuid.uuid4().hex), "out")
     assert sinks.export_with_profile(df, path, "parquet") == (7, 2)
     assert spark.read.parquet(path).count() == 7
+
+
+def test_export_job_table_and_report(spark, capsys):
+    from conftest import SF_SMALL
+    from forecheck.plans import export_job
+
+    spark.createDataFrame([("BR0", "D0", 1, 2)], "l0_name string, l1_name string, "
+                          "explainable_count bigint, non_explainable_count bigint"
+                          ).createOrReplaceTempView("report_table")
+    out = shared_subdir(spark, "test-export-job", uuid.uuid4().hex)
+    path = export_job.main(["--table", "report_table", "--out", out, "--format", "parquet"])
+    assert spark.read.parquet(path).count() == 1
+    assert "report rows: 1; cols: 4" in capsys.readouterr().out
+    out2 = shared_subdir(spark, "test-export-job", uuid.uuid4().hex)
+    path2 = export_job.main(["--sf-dir", SF_SMALL, "--out", out2, "--format", "csv"])
+    back = spark.read.option("header", True).csv(path2)
+    assert back.columns == ["l0_name", "l1_name", "explainable_count", "non_explainable_count"]
+    assert back.count() == 12
