@@ -78,6 +78,21 @@ def open_by_arrival(chain: DataFrame, calendar: DataFrame, as_of: dt.date,
             .agg(F.sum(open_units).alias("oo_temp"), F.sum(in_transit).alias("oo_temp_it")))
 
 
+def arriving_in_week(chain: DataFrame, calendar: DataFrame, week: int) -> DataFrame:
+    """Chain rows whose ETA lies between the first and last calendar date of
+    ``week`` (two scalar subqueries over the calendar, no collect).
+
+    Only such rows can meet that week in ``open_by_arrival``'s calendar join, so
+    the bound is implied and safe; it is a filter on a DISTINCT output column,
+    so the optimizer applies it before the chain's final shuffle and only one
+    week's arrivals are de-duplicated.
+    """
+    days = calendar.where(F.col("fy_week_id") == week)
+    first = days.agg(F.min("date")).scalar()
+    last = days.agg(F.max("date")).scalar()
+    return chain.where(F.col("initial_eta").between(first, last))
+
+
 def on_order_units(arrivals: DataFrame, channel: str, week: int) -> DataFrame:
     """Open plus in-transit units arriving in one week, per brand, SKU, channel.
 

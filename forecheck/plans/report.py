@@ -207,7 +207,10 @@ class ForecastValidation:
 
     @cached_property
     def on_order(self) -> DataFrame:
-        return supply.on_order_units(self.arrivals, self.p.order_channel, self.p.on_order_week)
+        week = self.p.on_order_week
+        chain = supply.arriving_in_week(self.chain, self.t.fiscal_calendar, week)
+        arrivals = supply.open_by_arrival(chain, self.t.fiscal_calendar, self.p.as_of, self.sizing)
+        return supply.on_order_units(arrivals, self.p.order_channel, week)
 
     @cached_property
     def on_hand(self) -> DataFrame:
