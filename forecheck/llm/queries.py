@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from forecheck.llm import oracle
+from forecheck.llm.bpe_replay import op5_bpe_replay
 from forecheck.llm.repetition import op1_repetition
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repetition": op1_repetition,
+    "op5_bpe_replay": op5_bpe_replay,
 }
 
 ORACLE_SQL: dict[str, str] = {
