@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from forecheck.llm import oracle
 from forecheck.llm.bpe_replay import op5_bpe_replay
 from forecheck.llm.repetition import op1_repetition
+from forecheck.llm.toxicity import op8_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repetition": op1_repetition,
     "op5_bpe_replay": op5_bpe_replay,
+    "op8_toxicity": op8_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {
