@@ -57,3 +57,22 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars,
          AND NOT too_long AS kept
 FROM counts
 """
+
+_B32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+OP9_WARC = f"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS payload, strlen(coalesce(html, '')) AS payload_bytes,
+         sha1(coalesce(html, '')) AS hex FROM pages),
+bits AS (
+  SELECT *, max(page_id) OVER (PARTITION BY hex, payload_bytes) AS last,
+         array_to_string([right('0000' || bin(('0x' || hex[i])::INT), 4)
+                          for i in range(1, 41)], '') AS b FROM p)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+       array_to_string([substr('{_B32}', 1 + list_sum([substr(b, 5 * k + j + 1, 1)::INT * (16 >> j)
+                                                       for j in range(5)])::INT, 1)
+                        for k in range(32)], '') AS payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = last THEN NULL ELSE last END AS refers_to
+FROM bits
+"""

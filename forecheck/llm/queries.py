@@ -10,13 +10,16 @@ from forecheck.llm import oracle
 from forecheck.llm.bpe_replay import op5_bpe_replay
 from forecheck.llm.repetition import op1_repetition
 from forecheck.llm.toxicity import op8_toxicity
+from forecheck.llm.warc_seekable import op9_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repetition": op1_repetition,
     "op5_bpe_replay": op5_bpe_replay,
     "op8_toxicity": op8_toxicity,
+    "op9_warc": op9_warc,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_repetition": oracle.OP1_REPETITION,
+    "op9_warc": oracle.OP9_WARC,
 }
