@@ -6,7 +6,7 @@ compared directly instead of going through suffix arrays, postings or sweeps.
 
 from __future__ import annotations
 
-from forecheck.llm import repetition
+from forecheck.llm import chat_format, repetition, url_rules
 
 _WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -76,3 +76,46 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
        CASE WHEN page_id = last THEN NULL ELSE last END AS refers_to
 FROM bits
 """
+
+
+def _rule_rows() -> str:
+    return ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in url_rules.RULES)
+
+
+OP10_URL_RULES = rf"""
+WITH rules(h, p, v) AS (VALUES {_rule_rows()}),
+urls AS (
+  SELECT page_id, row_number() OVER () AS id,
+         CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+parts AS (
+  SELECT page_id, id,
+         translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM urls),
+fits AS (
+  SELECT id, h || p AS rule, v,
+         row_number() OVER (PARTITION BY id ORDER BY length(h) + length(p) DESC) AS place
+  FROM parts JOIN rules
+    ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p))
+SELECT page_id, host, path, rule, coalesce(v, '{url_rules.DEFAULT_VERDICT}') AS verdict
+FROM parts LEFT JOIN (SELECT * FROM fits WHERE place = 1) USING (id)
+"""
+
+OP4_CHAT_FORMAT = rf"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '{chat_format.PROBE}'), (-1, 1, 'assistant', '{chat_format.PROBE}')),
+m AS (
+  SELECT *, contains(text, '{chat_format.START}') OR contains(text, '{chat_format.END}')
+            OR regexp_matches(text, '<\\+\|') AS clash FROM t)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum({len(chat_format.START) + len(chat_format.END) + 2} + length(role) + length(
+           CASE WHEN clash THEN regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') ELSE text END)
+       )::BIGINT AS formatted_chars,
+       sum(clash::INT)::BIGINT AS n_escaped
+FROM m GROUP BY conv_id
+"""
