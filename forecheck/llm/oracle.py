@@ -119,3 +119,33 @@ SELECT conv_id, count(*) AS n_turns,
        sum(clash::INT)::BIGINT AS n_escaped
 FROM m GROUP BY conv_id
 """
+
+_TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_FOLD = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+OP2_DECONTAMINATION = rf"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r,
+         regexp_extract_all(translate(coalesce(text, ''), {_FOLD}), '{_TERM}') AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), {_FOLD}), '{_TERM}') AS w
+  FROM benchmark),
+items AS (SELECT item_id, w, least(13, len(w)) AS n FROM b WHERE len(w) > 0),
+wins AS (
+  SELECT DISTINCT item_id, n, array_to_string(list_slice(w, s, s + n - 1), ' ') AS win
+  FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS s FROM items)),
+sizes AS (SELECT DISTINCT n FROM wins),
+spots AS (
+  SELECT r, n, s, array_to_string(list_slice(w, s, s + n - 1), ' ') AS win
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d CROSS JOIN sizes)),
+hits AS (SELECT r, s, n, item_id FROM spots JOIN wins USING (n, win)),
+cover AS (SELECT r, count(DISTINCT p) AS n_hit
+          FROM (SELECT DISTINCT r, unnest(range(s, s + n)) AS p FROM (SELECT DISTINCT r, s, n FROM hits))
+          GROUP BY r),
+found AS (SELECT r, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
+          FROM (SELECT DISTINCT r, item_id::VARCHAR AS i FROM hits) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN cover USING (r) LEFT JOIN found USING (r)
+"""

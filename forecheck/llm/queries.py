@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from forecheck.llm import oracle
 from forecheck.llm.bpe_replay import op5_bpe_replay
 from forecheck.llm.chat_format import op4_chat_format
+from forecheck.llm.decontamination import op2_decontamination
 from forecheck.llm.repetition import op1_repetition
 from forecheck.llm.toxicity import op8_toxicity
 from forecheck.llm.url_rules import op10_url_rules
@@ -16,6 +17,7 @@ from forecheck.llm.warc_seekable import op9_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repetition": op1_repetition,
+    "op2_decontamination": op2_decontamination,
     "op4_chat_format": op4_chat_format,
     "op5_bpe_replay": op5_bpe_replay,
     "op8_toxicity": op8_toxicity,
@@ -25,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_repetition": oracle.OP1_REPETITION,
+    "op2_decontamination": oracle.OP2_DECONTAMINATION,
     "op4_chat_format": oracle.OP4_CHAT_FORMAT,
     "op9_warc": oracle.OP9_WARC,
     "op10_url_rules": oracle.OP10_URL_RULES,
