@@ -10,6 +10,7 @@ from forecheck.llm import oracle
 from forecheck.llm.bpe_replay import op5_bpe_replay
 from forecheck.llm.chat_format import op4_chat_format
 from forecheck.llm.decontamination import op2_decontamination
+from forecheck.llm.jaccard_join import op7_jaccard_join
 from forecheck.llm.repetition import op1_repetition
 from forecheck.llm.toxicity import op8_toxicity
 from forecheck.llm.url_rules import op10_url_rules
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op4_chat_format": op4_chat_format,
     "op5_bpe_replay": op5_bpe_replay,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_toxicity": op8_toxicity,
     "op9_warc": op9_warc,
     "op10_url_rules": op10_url_rules,
