@@ -149,3 +149,26 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN cover USING (r) LEFT JOIN found USING (r)
 """
+
+OP3_PREFIX_FREE_DEDUP = """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+h AS (SELECT doc_id, hex(b) AS x, octet_length(b) AS n FROM d),
+starts AS (SELECT doc_id, x, unnest(range(0, n - 99)) AS s FROM h),
+strings AS (SELECT doc_id, s, md5_number(substr(x, 2 * s + 1, 200)) AS k FROM starts),
+later AS (SELECT doc_id, s FROM strings
+          QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, s) > 1),
+steps AS (SELECT doc_id, s, s - coalesce(lag(s) OVER (PARTITION BY doc_id ORDER BY s), -1000000) AS gap
+          FROM later),
+runs AS (SELECT doc_id, s, sum((gap > 100)::INT) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM steps),
+spans AS (SELECT doc_id, run, min(s) AS b, max(s) + 100 AS e FROM runs GROUP BY doc_id, run),
+gone AS (SELECT doc_id, sum(e - b) AS n_removed, count(*) AS n_spans,
+                list(b ORDER BY b) AS bs, list(e ORDER BY b) AS es FROM spans GROUP BY doc_id)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(CASE WHEN bs IS NULL THEN x ELSE
+         substr(x, 1, 2 * bs[1]) || array_to_string([
+           CASE WHEN i = len(bs) THEN substr(x, 2 * es[i] + 1)
+                ELSE substr(x, 2 * es[i] + 1, 2 * (bs[i + 1] - es[i])) END
+           FOR i IN range(1, len(bs) + 1)], '') END)) AS kept_sha256
+FROM h LEFT JOIN gone USING (doc_id)
+"""

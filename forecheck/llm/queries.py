@@ -11,6 +11,7 @@ from forecheck.llm.bpe_replay import op5_bpe_replay
 from forecheck.llm.chat_format import op4_chat_format
 from forecheck.llm.decontamination import op2_decontamination
 from forecheck.llm.jaccard_join import op7_jaccard_join
+from forecheck.llm.prefix_free_dedup import op3_prefix_free_dedup
 from forecheck.llm.repetition import op1_repetition
 from forecheck.llm.toxicity import op8_toxicity
 from forecheck.llm.url_rules import op10_url_rules
@@ -19,6 +20,7 @@ from forecheck.llm.warc_seekable import op9_warc
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repetition": op1_repetition,
     "op2_decontamination": op2_decontamination,
+    "op3_prefix_free_dedup": op3_prefix_free_dedup,
     "op4_chat_format": op4_chat_format,
     "op5_bpe_replay": op5_bpe_replay,
     "op7_jaccard_join": op7_jaccard_join,
@@ -30,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_repetition": oracle.OP1_REPETITION,
     "op2_decontamination": oracle.OP2_DECONTAMINATION,
+    "op3_prefix_free_dedup": oracle.OP3_PREFIX_FREE_DEDUP,
     "op4_chat_format": oracle.OP4_CHAT_FORMAT,
     "op9_warc": oracle.OP9_WARC,
     "op10_url_rules": oracle.OP10_URL_RULES,
