@@ -134,7 +134,7 @@ def proximity_matches(docs: DataFrame, benchmark: DataFrame, slop: int = 5,
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                   text_col: str = "text", item_col: str = "item_id",
-                  item_text_col: str = "text") -> DataFrame:
+                  item_text_col: str = "text", carry: bool = False) -> DataFrame:
     """One row per input row: id, ``n_words``, ``n_hit`` (words inside an
     occurrence of a test window), ``items`` (sorted item ids with occurring
     windows) and ``contaminated`` (``n_hit`` > 0 and at least a twentieth of the
@@ -143,7 +143,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     NULL or empty texts have no words and are clean; items without words or id
     are left out; repeated rows and ids are judged each on its own text; NULL ids
     work as any other. Empty documents give no rows, an empty benchmark leaves
-    every document clean. Other columns are not read.
+    every document clean. Other columns are not read, or with ``carry`` all are
+    returned, followed by the figures as one struct column ``judged``.
     """
     items = test_items(benchmark, item_col, item_text_col)
     index = build_index(docs, items, id_col, text_col)
@@ -152,9 +153,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
              .join(_bounded(planned.select("key", "item", "words", "n")), "key")
              .groupBy("doc").agg(F.collect_list(F.struct(
                  "item", F.col("words").alias("test"), "n", "diagonal")).alias("candidates")))
-    base = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
+    others = [c for c in docs.columns if carry and c != id_col]
+    row = F.struct(*(docs[c].alias(f"c{k}") for k, c in enumerate(others)), F.lit(0).alias("end"))
+    base = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"),
+                       row.alias("row"))
     every = (base.join(found, base["id"].eqNullSafe(found["doc"]), "left")
-             .select("id", words(F.col("text")).alias("w"), "candidates"))
+             .select("id", "row", words(F.col("text")).alias("w"), "candidates"))
 
     def spans(c: Column) -> Column:
         """Starts of the item's windows that really occur on the diagonal."""
@@ -172,11 +176,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         found.schema["candidates"].dataType)), spans), lambda x: F.size(x["at"]) > 0)
     covered = F.size(F.array_distinct(F.flatten(F.transform("hits", lambda x: F.flatten(
         F.transform(x["at"], lambda s: F.sequence(s, s + x["n"] - 1)))))))
-    judged = every.select("id", F.size("w").cast("long").alias("n_words"), hits.alias("hits")).select(
-        "id", "n_words", covered.cast("long").alias("n_hit"),
+    judged = every.select("id", "row", F.size("w").cast("long").alias("n_words"),
+                          hits.alias("hits")).select(
+        "id", "row", "n_words", covered.cast("long").alias("n_hit"),
         F.array_sort(F.array_distinct(F.col("hits")["item"])).alias("items"))
-    return judged.withColumn("contaminated", (F.col("n_hit") > 0) & (
-        20 * F.col("n_hit") >= F.col("n_words"))).withColumnRenamed("id", id_col)
+    bad = (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
+    figures = [F.col("n_words"), F.col("n_hit"), F.col("items"), bad.alias("contaminated")]
+    own = F.col("id").alias(id_col)
+    if not carry:
+        return judged.select(own, *figures)
+    columns = [own if c == id_col else F.col(f"row.c{others.index(c)}").alias(c) for c in docs.columns]
+    return judged.select(*columns, F.struct(*figures).alias("judged"))
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -128,19 +128,20 @@ def _binary(rows: np.ndarray) -> pa.Array:
 
 
 def _sketches(docs: DataFrame) -> DataFrame:
-    """(id, key, n, sig) of every row of (id, text)."""
+    """(id, tag, key, n, sig) of every row of (id, tag, text)."""
     id_type = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, offsets in sliced(batch.column(1)):
+            for lo, hi, data, offsets in sliced(batch.column("text")):
                 row, value = shingles(data, offsets)
                 counts, keys = set_keys(row, value, hi - lo)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), _binary(keys), pa.array(counts),
-                     _binary(signatures(counts, value))], ["id", "key", "n", "sig"])
+                    [batch.column("id").slice(lo, hi - lo), batch.column("tag").slice(lo, hi - lo),
+                     _binary(keys), pa.array(counts), _binary(signatures(counts, value))],
+                    ["id", "tag", "key", "n", "sig"])
 
-    return docs.mapInArrow(run, f"id {id_type}, key binary, n long, sig binary")
+    return docs.mapInArrow(run, f"id {id_type}, tag long, key binary, n long, sig binary")
 
 
 def _bands(classes: DataFrame) -> DataFrame:
@@ -234,7 +235,7 @@ def _verified(a: _Members, b: _Members, i: np.ndarray, j: np.ndarray, threshold:
 def _block_links(rows: list[dict], threshold: float, least: dict[int, int]) -> list[tuple]:
     """(key, links, root) of every class of the block pair that has a link."""
     first = rows[0]
-    # a class may arrive more than once when its id stands on several rows
+    # a class arrives more than once when its first row is repeated in the table
     sides = [{r["key"]: r for r in rows if r["block"] == x} for x in {first["lo"], first["hi"]}]
     same = first["lo"] == first["hi"]
     members = [_Members(list(s.values())) for s in sides if s]
@@ -334,19 +335,23 @@ def components(edges: DataFrame) -> DataFrame:
 
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  threshold: float = THRESHOLD) -> DataFrame:
-    """One row per input row: id, ``n_shingles``, ``copies`` (rows with the same
-    shingle set, itself included), ``n_links`` (other rows with a similarity of at
-    least ``threshold``), ``exact_id`` (least id of its copies) and ``group_id``
-    (least id of its connected component).
+    """One row per input row: id, ``text_hash`` (xxhash64, NULL as empty),
+    ``n_shingles``, ``copies`` (rows with the same shingle set, itself included),
+    ``n_links`` (other rows with a similarity of at least ``threshold``),
+    ``exact_id`` (least id of its copies), ``group_id`` (least id of its connected
+    component) and ``is_first`` (the row is the component's least by id and text
+    hash).
 
     NULL, empty and blank texts have no shingles: no links, ``copies`` 1, both ids
-    their own. Rows that repeat an id count as rows of their own. An empty table
+    their own, ``is_first`` true. Rows that repeat an id count as rows of their
+    own; rows equal in id and text are both first or both not. An empty table
     gives no rows; other columns are not read.
     """
-    base = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
+    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
+    base = docs.select(docs[id_col].alias("id"), F.xxhash64(text).alias("tag"), text.alias("text"))
     sketches = stored(_sketches(base), "sketches")
     classes = stored(sketches.where("n > 0").groupBy("key").agg(
-        F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"),
+        F.min(F.struct("id", "tag")).alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"),
         F.first("sig").alias("sig")), "classes")
     bands = _bands(classes)
     member = F.xxhash64("key")
@@ -362,22 +367,19 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
               .groupBy("key").agg(F.collect_list(F.struct("bucket", "band", "blocks")).alias("places"),
                                   F.sum(F.expr("shiftleft(1L, band)")).alias("kept")))
     wanted = classes.select("key", "rep", "copies", "sig").join(places, "key")
-    texts = base.join(wanted, base["id"].eqNullSafe(F.col("rep")))
+    texts = base.join(wanted, base["id"].eqNullSafe(F.col("rep.id"))
+                      & (base["tag"] == F.col("rep.tag")))
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offsets in sliced(batch.column("text")):
                 row, value = shingles(data, offsets)
-                counts, keys = set_keys(row, value, hi - lo)
+                counts = np.bincount(row, minlength=hi - lo)
                 cut = np.split(value, np.cumsum(counts)[:-1]) if hi > lo else []
                 part = batch.slice(lo, hi - lo)
-                # an id may stand on other rows with other texts
-                mine = pa.array([k.tobytes() == want for k, want in
-                                 zip(keys, part.column("key").to_pylist())], pa.bool_())
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in ("key", "copies", "sig", "kept", "places")),
-                     _binary(cut)], ["key", "copies", "sig", "kept", "places", "shingles"]
-                ).filter(mine)
+                     _binary(cut)], ["key", "copies", "sig", "kept", "places", "shingles"])
 
     place_type = wanted.schema["places"].dataType.simpleString()
     loaded = texts.select("text", "key", "copies", "sig", "kept", "places").mapInArrow(
@@ -394,17 +396,34 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     own = (classes.select("key", "rep", "copies").join(links, "key", "left")
            .join(roots.withColumnRenamed("node", "key"), "key", "left")
            .withColumn("root", F.coalesce("root", "key")))
-    least = own.groupBy("root").agg(F.min("rep").alias("group_id"))
+    least = own.groupBy("root").agg(F.min("rep").alias("first"))
     judged = own.join(least, "root").select(
         "key", "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        F.col("rep").alias("exact_id"), "group_id")
+        "rep", "first")
+    found = sketches.select("id", "tag", "n", "key").join(judged, "key", "left")
     has = F.col("n") > 0
-    return sketches.select("id", "n", "key").join(judged, "key", "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
+    return found.select(
+        F.col("id").alias(id_col), F.col("tag").alias("text_hash"), F.col("n").alias("n_shingles"),
         F.when(has, F.col("copies")).otherwise(1).alias("copies"),
         F.when(has, F.col("n_links")).otherwise(0).alias("n_links"),
-        F.when(has, F.col("exact_id")).otherwise(F.col("id")).alias("exact_id"),
-        F.when(has, F.col("group_id")).otherwise(F.col("id")).alias("group_id"))
+        F.when(has, F.col("rep.id")).otherwise(F.col("id")).alias("exact_id"),
+        F.when(has, F.col("first.id")).otherwise(F.col("id")).alias("group_id"),
+        F.when(has, F.col("id").eqNullSafe(F.col("first.id")) & (F.col("tag") == F.col("first.tag")))
+        .otherwise(True).alias("is_first"))
+
+
+def first_of_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    threshold: float = THRESHOLD) -> DataFrame:
+    """The rows, with all their columns, that are first of their component; of
+    rows equal in id and text one stays."""
+    judged = jaccard_join(docs, id_col, text_col, threshold).where("is_first")
+    wanted = judged.select(F.col(id_col).alias("id"), F.col("text_hash").alias("tag")).distinct()
+    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
+    rows = docs.select(docs[id_col].alias("id"), F.xxhash64(text).alias("tag"),
+                       F.struct(*(docs[c].alias(f"c{k}") for k, c in enumerate(docs.columns))).alias("row"))
+    kept = rows.join(wanted, rows["id"].eqNullSafe(wanted["id"]) & (rows["tag"] == wanted["tag"]),
+                     "left_semi").dropDuplicates(["id", "tag"])
+    return kept.select(*(F.col(f"row.c{k}").alias(c) for k, c in enumerate(docs.columns)))
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

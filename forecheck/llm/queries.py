@@ -11,6 +11,7 @@ from forecheck.llm.bpe_replay import op5_bpe_replay
 from forecheck.llm.chat_format import op4_chat_format
 from forecheck.llm.decontamination import op2_decontamination
 from forecheck.llm.jaccard_join import op7_jaccard_join
+from forecheck.llm.license_scan import op6_license_scan
 from forecheck.llm.prefix_free_dedup import op3_prefix_free_dedup
 from forecheck.llm.repetition import op1_repetition
 from forecheck.llm.toxicity import op8_toxicity
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_prefix_free_dedup": op3_prefix_free_dedup,
     "op4_chat_format": op4_chat_format,
     "op5_bpe_replay": op5_bpe_replay,
+    "op6_license_scan": op6_license_scan,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_toxicity": op8_toxicity,
     "op9_warc": op9_warc,

@@ -133,21 +133,35 @@ def _compressor(content: bytes) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(dict_data=shared, compression_params=params)
 
 
-class Scorer:
-    def __init__(self, toxic: bytes, ordinary: bytes, weights: np.ndarray | None = None):
+class Gains:
+    """Compares windows under two dictionaries."""
+
+    def __init__(self, toxic: bytes, ordinary: bytes):
         self.toxic, self.ordinary = _compressor(toxic), _compressor(ordinary)
-        self.weights = weights
 
-    def gains(self, raw: bytes) -> np.ndarray:
+    def __call__(self, raw: bytes) -> np.ndarray:
         """Clipped gain of each window, counted from 0."""
         t, o = self.toxic.compress, self.ordinary.compress
         found = [len(o(w)) - len(t(w)) for w in _windows(raw)]
         return np.clip(np.array(found, np.int64), *GAINS) - GAINS[0]
 
-    def features(self, raw: bytes) -> tuple[float, float, float]:
-        if not raw.strip():
-            return 0.0, 0.0, 1.0
-        return _features(self.gains(raw), self.weights)
+
+class Scorer:
+    def __init__(self, model: Model):
+        self.gains = Gains(model.toxic, model.ordinary)
+        self.weights, self.curve = np.array(model.weights), np.array(model.curve)
+
+    def scores(self, column: pa.Array) -> np.ndarray:
+        """Score of every text of a string column."""
+        data, offsets = utf8(column)
+        raw = _LOWER[data].tobytes()
+        at = offsets.tolist()
+        x = np.zeros((len(at) - 1, 3))
+        x[:, 2] = 1.0
+        for k, (a, b) in enumerate(zip(at[:-1], at[1:])):
+            if raw[a:b].strip():
+                x[k] = _features(self.gains(b" " + raw[a:b] + b" "), self.weights)
+        return 1 / (1 + np.exp(-np.clip(x @ self.curve, -500, 500)))
 
 
 def _features(gains: np.ndarray, weights: np.ndarray) -> tuple[float, float, float]:
@@ -186,9 +200,9 @@ def fit_texts(toxic: list[str], ordinary: list[str]) -> Model:
     except zstandard.ZstdError:          # too little text to train on: take it as it is
         base = b"".join(windows)[:BASE_BYTES]
     segments = _toxic_segments(t[::2], o[::2])
-    scorer = Scorer(segments + base, base)
+    gains = Gains(segments + base, base)
     size = GAINS[1] - GAINS[0] + 1
-    seen = [[scorer.gains(raw) for raw in texts] for texts in (t[1::2], o[1::2])]
+    seen = [[gains(raw) for raw in texts] for texts in (t[1::2], o[1::2])]
     hist = np.stack([np.bincount(np.concatenate(x), minlength=size) for x in seen]).astype(float)
     # ratios shrink to the pooled share where few windows have a gain; only
     # windows that compress better under the toxic dictionary are evidence
@@ -245,14 +259,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id",
     id_type = picked.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model.toxic, model.ordinary, np.array(model.weights))
+        scorer = Scorer(model)
         for batch in batches:
-            data, offsets = utf8(batch.column(1))
-            raw = _LOWER[data].tobytes()
-            at = offsets.tolist()
-            x = np.array([scorer.features(b" " + raw[a:b] + b" ")
-                          for a, b in zip(at[:-1], at[1:])], np.float64).reshape(-1, 3)
-            p = 1 / (1 + np.exp(-np.clip(x @ np.array(model.curve), -500, 500)))
+            p = scorer.scores(batch.column(1))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(p), pa.array((p >= 0.5).astype(np.int32))],
                 ["id", "score", "predicted"])
@@ -261,6 +270,18 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id",
             .withColumnRenamed("id", id_col))
 
 
+def accepted(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose score is below 0.5."""
+    where = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model)
+        for batch in batches:
+            yield batch.filter(pa.array(scorer.scores(batch.column(where)) < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text of ``documents``, scored by a model of its labelled rows."""
     docs = table(spark, sf_dir, "documents")
