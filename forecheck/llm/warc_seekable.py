@@ -17,7 +17,8 @@ attempt leaves no wrong record behind.
 Records with equal payloads (SHA-1 and length) are stored once: the one with the
 largest id is the response, the others are revisits that refer to it. Counting
 copies is a grouped maximum, combined before the shuffle; digests are compared
-first and only (digest, length, id) rows are shuffled, never the payloads.
+first, on (digest, length, id) rows; payloads are compressed before the one
+shuffle, by id, that brings them their decision.
 """
 
 from __future__ import annotations
@@ -121,25 +122,27 @@ class Bundle:
         return b"".join(self.parts) + struct.pack("<II", SKIPPABLE_MAGIC, len(table_)) + table_
 
 
-def seek_table(raw: bytes) -> list[tuple[int, int, int]]:
-    """(offset, compressed size, decompressed size) of each frame of a bundle."""
-    frames, _, magic = FOOTER.unpack(raw[-FOOTER.size:])
+def seek_table(f: pa.NativeFile) -> list[tuple[int, int, int]]:
+    """(offset, compressed size, decompressed size) of each frame of a bundle,
+    from the end of the open file."""
+    end = f.size()
+    f.seek(end - FOOTER.size)
+    frames, _, magic = FOOTER.unpack(f.read(FOOTER.size))
     if magic != SEEKABLE_MAGIC:
         raise ValueError("no seek table at the end of the bundle")
-    at = len(raw) - FOOTER.size - frames * ENTRY.size
+    f.seek(end - FOOTER.size - frames * ENTRY.size)
     out, offset = [], 0
-    for k in range(frames):
-        packed, size = ENTRY.unpack_from(raw, at + k * ENTRY.size)
+    for packed, size in ENTRY.iter_unpack(f.read(frames * ENTRY.size)):
         out.append((offset, packed, size))
         offset += packed
     return out
 
 
-def read_frame(raw: bytes, frames: list[tuple[int, int, int]], k: int) -> bytes:
-    """One frame, decompressed on its own."""
-    offset, packed, size = frames[k]
-    got = zstandard.ZstdDecompressor().decompress(raw[offset:offset + packed],
-                                                  max_output_size=max(size, 1))
+def read_frame(f: pa.NativeFile, frame: tuple[int, int, int]) -> bytes:
+    """One frame, read and decompressed on its own."""
+    offset, packed, size = frame
+    f.seek(offset)
+    got = zstandard.ZstdDecompressor().decompress(f.read(packed), max_output_size=max(size, 1))
     if len(got) != size:
         raise ValueError("frame size differs from the seek table")
     return got
@@ -152,7 +155,8 @@ def _file_system(folder: str) -> tuple[pafs.FileSystem, str]:
 
 def plan(pages: DataFrame, id_col: str, url_col: str, payload_col: str,
          min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
-    """Pages with digest, record type and the response they refer to."""
+    """(id, url, payload_bytes, packed, refers_to): pages with their payload
+    compressed, and the response that a revisit refers to."""
     payload = F.coalesce(pages[payload_col].cast("string"), F.lit(""))
     base = pages.select(
         pages[id_col].cast("long").alias("id"), pages[url_col].cast("string").alias("url"),
@@ -166,10 +170,20 @@ def plan(pages: DataFrame, id_col: str, url_col: str, payload_col: str,
                 .join(owner, (F.col("sha1") == F.col("s")) & (F.col("payload_bytes") == F.col("b")))
                 .where(F.col("id").isNull() | (F.col("id") != F.col("owner")))
                 .select(F.col("id").alias("r"), "s", "b", "owner").distinct())
+
+    def zipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=LEVEL).compress
+        for batch in batches:
+            packed = [pack(p.encode()) for p in batch.column("payload").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(n) for n in ("id", "url", "sha1", "payload_bytes")),
+                 pa.array(packed, pa.binary())], ["id", "url", "sha1", "payload_bytes", "packed"])
+
+    rows = base.mapInArrow(zipped, "id long, url string, sha1 string, payload_bytes long, packed binary")
     # joined by id as well, so the payloads of a hot digest stay spread out
-    same = (base["id"].eqNullSafe(F.col("r")) & (base["sha1"] == F.col("s"))
-            & (base["payload_bytes"] == F.col("b")))
-    return (base.join(revisits, same, "left").drop("r", "s", "b", "sha1")
+    same = (rows["id"].eqNullSafe(F.col("r")) & (rows["sha1"] == F.col("s"))
+            & (rows["payload_bytes"] == F.col("b")))
+    return (rows.join(revisits, same, "left").drop("r", "s", "b", "sha1")
             .withColumnRenamed("owner", "refers_to"))
 
 
@@ -186,6 +200,7 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, path = _file_system(folder)
+        unpack = zstandard.ZstdDecompressor().decompress
         bundle: Bundle | None = None
         rows: list[tuple] = []
 
@@ -206,7 +221,7 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
                 if bundle is None:
                     bundle, rows = Bundle(f"{uuid.uuid4().hex}.warc.zst"), []
                 page_id, ref = cols["id"][k].as_py(), cols["refers_to"][k].as_py()
-                payload = cols["payload"][k].as_py().encode()
+                payload = unpack(cols["packed"][k].as_py())
                 raw = record(page_id, cols["url"][k].as_py(), payload, digest(payload),
                              "response" if ref is None else "revisit", ref)
                 rows.append((page_id, bundle.name, *bundle.add(raw)))
@@ -216,55 +231,54 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
         if bundle is not None:
             yield finish()
 
-    return stored(planned.select("id", "url", "payload", "refers_to").mapInArrow(run, INDEX),
+    return stored(planned.select("id", "url", "packed", "refers_to").mapInArrow(run, INDEX),
                   "warc-index")
 
 
-def read(spark: SparkSession, folder: str, index: DataFrame) -> DataFrame:
+def read(folder: str, index: DataFrame) -> DataFrame:
     """Every indexed record, read back by frame: headers and the stored body.
 
-    Bundles are read by Spark's binary reader (about 32 MB each). Each file is
-    joined with its own records of the index, grouped by frame.
+    The index is grouped by file (a bundle is bounded); each task opens its
+    files, reads the seek tables and then only the frames asked for.
     """
     wanted = (index.groupBy("file", "frame")
               .agg(F.collect_list(F.struct("record_id", "begin", "length")).alias("records"))
               .groupBy("file").agg(F.collect_list(F.struct("frame", "records")).alias("frames")))
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder)
-             .select(F.element_at(F.split("path", "/"), -1).alias("file"), "content"))
+    names = ["record_id", "target_uri", "body", "payload_bytes", "payload_digest", "record_type",
+             "refers_to"]
+    types = [pa.int64(), pa.string(), pa.binary(), pa.int64(), pa.string(), pa.string(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, path = _file_system(folder)
         for batch in batches:
-            for k in range(batch.num_rows):
-                raw = batch.column("content")[k].as_py()
-                frames = seek_table(raw)
-                for group in batch.column("frames")[k].as_py():
-                    data = read_frame(raw, frames, group["frame"])
-                    out = []
-                    for r in group["records"]:
-                        headers, body = parse(data[r["begin"]:r["begin"] + r["length"]])
-                        ref = headers.get("WARC-Refers-To")
-                        out.append((r["record_id"], headers["WARC-Target-URI"], body,
-                                    int(headers["X-Payload-Length"]),
-                                    headers["WARC-Payload-Digest"].removeprefix("sha1:"),
-                                    headers["WARC-Type"],
-                                    int(ref.rsplit(":", 1)[1].rstrip(">")) if ref else None))
-                    types = [pa.int64(), pa.string(), pa.binary(), pa.int64(), pa.string(),
-                             pa.string(), pa.int64()]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(zip(*out), types)],
-                        ["record_id", "target_uri", "body", "payload_bytes", "payload_digest",
-                         "record_type", "refers_to"])
-
-    return files.join(wanted, "file").mapInArrow(
+            for name, groups in zip(batch.column("file").to_pylist(),
+                                    batch.column("frames").to_pylist()):
+                with fs.open_input_file(f"{path}/{name}") as f:
+                    frames = seek_table(f)
+                    for group in groups:
+                        data = read_frame(f, frames[group["frame"]])
+                        out = []
+                        for r in group["records"]:
+                            headers, body = parse(data[r["begin"]:r["begin"] + r["length"]])
+                            ref = headers.get("WARC-Refers-To")
+                            out.append((r["record_id"], headers["WARC-Target-URI"], body,
+                                        int(headers["X-Payload-Length"]),
+                                        headers["WARC-Payload-Digest"].removeprefix("sha1:"),
+                                        headers["WARC-Type"],
+                                        int(ref.rsplit(":", 1)[1].rstrip(">")) if ref else None))
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(c, t) for c, t in zip(zip(*out), types)], names)
+
+    return wanted.mapInArrow(
         run, "record_id long, target_uri string, body binary, payload_bytes long, "
              "payload_digest string, record_type string, refers_to long")
 
 
-def lookup(spark: SparkSession, folder: str, index: DataFrame, ids: DataFrame,
+def lookup(folder: str, index: DataFrame, ids: DataFrame,
            id_col: str = "record_id") -> DataFrame:
     """The records of some ids: only their frames are decompressed."""
     own = ids.select(ids[id_col].alias("record_id")).distinct()
-    return read(spark, folder, index.join(own, "record_id", "left_semi"))
+    return read(folder, index.join(own, "record_id", "left_semi"))
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -272,12 +286,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     of the stored bodies against the headers."""
     folder = scratch(spark, "warc")
     index = write(table(spark, sf_dir, "pages"), folder)
-    if index.isEmpty():
-        return index.select(
-            F.col("record_id").alias("page_id"), F.lit(0).cast("long").alias("payload_bytes"),
-            F.lit("").alias("payload_digest"), F.lit("").alias("record_type"),
-            F.lit(None).cast("long").alias("refers_to"))
-    found = read(spark, folder, index)
+    found = read(folder, index)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
