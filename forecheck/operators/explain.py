@@ -79,15 +79,23 @@ def explainability_rollup(final: DataFrame, active: DataFrame) -> DataFrame:
                  F.count(F.when(F.col("non_explainable"), F.col("sku"))).alias("non_explainable_count")))
 
 
-# report headings of the per-SKU detail report, in output order
+# fixed values: the 15 report headings of the per-SKU detail report, in output order
 DETAIL_HEADINGS = (
-    ("l0_name", "Brand"), ("l1_name", "Department"), ("l2_name", "Sub Department"),
-    ("l3_name", "Class"), ("sku", "SKU"), ("ty_units", "Recent 4 Weeks"),
-    ("lf_units", "LY Forecast 4 Weeks"), ("fct_units", "Forecast 4 Weeks"),
-    ("lt_units", "LY Recent 4 Weeks"), ("ty_ly_units_ratio", "Recent to LY Recent"),
-    ("fct_ly_units_ratio", "Forecast to LY Forecast"), ("key", "Key"),
-    ("oh_units", "End of Period Inv"), ("oo_units", "On Order"),
-    ("explainable", "Explainable"),
+    ("l0_name", "Brand"),
+    ("l1_name", "Department"),
+    ("l2_name", "Sub Department"),
+    ("l3_name", "Class"),
+    ("sku", "SKU"),
+    ("ty_units", "ForecastRecent4Week"),
+    ("lf_units", "LY4Week"),
+    ("fct_units", "Forecast4Week"),
+    ("lt_units", "LYRecent4Week"),
+    ("ty_ly_units_ratio", "ForecastRecent4week_to_LYRecent4week"),
+    ("fct_ly_units_ratio", "Forecast4week_to_LY4week"),
+    ("key", "concat"),
+    ("oh_units", "End of Period Inv"),
+    ("oo_units", "On Order"),
+    ("explainable", "Explainability from 1a"),
 )
 
 
