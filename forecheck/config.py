@@ -1,14 +1,13 @@
 """Run parameters.
 
 Every week window, channel name, tolerance and "today" of the report is a
-parameter here instead of a literal in a query. ``ReportParams()`` carries the
-values for the driver's test tables (see FIXTURES.md section 4).
+parameter here instead of a literal in a query.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import MISSING, dataclass, fields
 
 
 @dataclass(frozen=True)
@@ -21,34 +20,41 @@ class WeekRange:
 
 @dataclass(frozen=True)
 class ReportParams:
+    """Everything a run has to be told: no field that depends on the data has a
+    default. ``sources.fixtures.PARAMS`` holds the values of the test tables."""
+
     # channel value per source: the tables name the same channel differently
-    plan_channel: str = "Online"
-    history_channel: str = "Online"
-    order_channel: str = "Online"
-    inventory_platform: str = "Online"
-    forecast_sub_channel: str = "Online"
-    sales_sub_channel: str = "Online"
+    plan_channel: str
+    history_channel: str
+    order_channel: str
+    inventory_platform: str
+    forecast_sub_channel: str
+    sales_sub_channel: str
 
     # weekly history years compared for comparability (this year, last year)
-    this_year: int = 1999
-    last_year: int = 1998
+    this_year: int
+    last_year: int
 
     # four-week windows
-    recent: WeekRange = field(default_factory=lambda: WeekRange(199949, 199952))
-    recent_ly: WeekRange = field(default_factory=lambda: WeekRange(199849, 199852))
-    forward: WeekRange = field(default_factory=lambda: WeekRange(200001, 200004))
-    forward_ly: WeekRange = field(default_factory=lambda: WeekRange(199901, 199904))
+    recent: WeekRange
+    recent_ly: WeekRange
+    forward: WeekRange
+    forward_ly: WeekRange
 
     # validated plan weeks and the cutoff applied on top of them
-    plan_weeks: WeekRange = field(default_factory=lambda: WeekRange(199952, 200053))
-    plan_cutoff: int = 200043
+    plan_weeks: WeekRange
+    plan_cutoff: int
 
     # discount used for hierarchy codes that were never validated
-    default_discount: float = 0.05
+    default_discount: float
+
+    # "today" of the report; never current_date() inside a plan, so runs are repeatable
+    as_of: dt.date
+    on_order_week: int
 
-    # "today" of the report; never current_date() so runs are repeatable
-    as_of: dt.date = dt.date(2001, 6, 30)
-    on_order_week: int = 200127
+    # brands accepted on purchase orders; anything else becomes default_brand
+    po_brands: tuple[str, ...]
+    default_brand: str
 
     # comparability rules
     narrow_tolerance: float = 0.3
@@ -62,16 +68,29 @@ class ReportParams:
     # hierarchy level that maps a hierarchy code to SKUs
     hierarchy_level: int = 7
 
-    # brands accepted on purchase orders; anything else becomes default_brand
-    po_brands: tuple[str, ...] = ("BR0", "BR1", "BR2", "BR3", "BR4")
-    default_brand: str = "BR0"
-
     # simulation algorithms that mark a product as new
     new_product_algorithms: tuple[str, ...] = ("new_item_average", "new_item")
 
     # week-key shift that moves last year's rows onto this year's keys
     year_shift: int = 100
 
+    @classmethod
+    def from_json(cls, values: dict, as_of: dt.date | None = None) -> ReportParams:
+        """Parameters from a JSON object with the field names above: week ranges
+        as ``[first, last]``, dates as ``YYYY-MM-DD``. ``as_of`` may be given
+        apart; unknown and missing fields are errors."""
+        values = dict(values)
+        if as_of is not None:
+            values["as_of"] = as_of.isoformat()
+        known = {f.name: f for f in fields(cls)}
+        unknown = sorted(set(values) - set(known))
+        missing = sorted(n for n, f in known.items() if f.default is MISSING and n not in values)
+        if unknown or missing:
+            raise ValueError(f"report parameters: missing {missing}, unknown {unknown}")
+        kinds = {"WeekRange": lambda v: WeekRange(*map(int, v)), "dt.date": dt.date.fromisoformat,
+                 "tuple[str, ...]": tuple, "int": int, "float": float, "str": str}
+        return cls(**{n: kinds[known[n].type](v) for n, v in values.items()})
+
     @property
     def narrow_band(self) -> tuple[float, float]:
         return (1.0 - self.narrow_tolerance, 1.0 + self.narrow_tolerance)
@@ -86,9 +105,9 @@ class Sizing:
     """Size bounds used before hinting a broadcast.
 
     A side is broadcast only after its row count was checked against
-    ``broadcast_max_rows`` and its estimated size (rows x schema row width)
-    against ``broadcast_max_bytes``; larger sides fall back to a shuffle join
-    (with AQE skew splitting).
+    ``broadcast_max_rows`` and its measured size in the cache against
+    ``broadcast_max_bytes``; larger sides fall back to a shuffle join (with AQE
+    skew splitting).
     """
 
     broadcast_max_rows: int = 1_000_000

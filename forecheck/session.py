@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -50,19 +49,25 @@ def build_session(master: str | None = None, app_name: str = "forecheck",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """Return the shared checkpoint folder.
 
-    On a cluster the folder is configured by the deployment; it is only set
-    here when it is missing (local tests), to a fresh scratch folder.
+    It is the one named by ``spark.checkpoint.dir``, else the one set on the
+    Spark context. Where neither is set, a local master gets a fresh scratch
+    folder (tests); on a cluster that is an error, because a folder made here
+    would exist on the driver's machine only.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all "
+                             "executors share")
         path = tempfile.mkdtemp(prefix="forecheck-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path
 
 
 def shared_subdir(spark: SparkSession, *parts: str) -> str:
-    return os.path.join(ensure_checkpoint_dir(spark), *parts)
+    return "/".join([ensure_checkpoint_dir(spark).rstrip("/"), *parts])

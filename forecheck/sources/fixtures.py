@@ -16,10 +16,12 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forecheck.config import ReportParams, WeekRange
 from forecheck.functions import fiscal
 from forecheck.functions.paths import LEVELS, RETAIL_PREFIX, cumulative_paths
 from forecheck.sources.tables import load
@@ -39,6 +41,17 @@ ETA_DAYS, RECEIPT_DAYS = 60, 30
 CALENDAR_START, CALENDAR_END = dt.date(1995, 1, 1), dt.date(2002, 12, 31)
 ALGORITHMS = ("new_item_average", "new_item", "elasticity")   # by pid % 3
 
+# report parameters of the test tables (FIXTURES.md section 4)
+PARAMS = ReportParams(
+    plan_channel=ONLINE, history_channel=ONLINE, order_channel=ONLINE, inventory_platform=ONLINE,
+    forecast_sub_channel=ONLINE, sales_sub_channel=ONLINE,
+    this_year=1999, last_year=1998,
+    recent=WeekRange(199949, 199952), recent_ly=WeekRange(199849, 199852),
+    forward=WeekRange(200001, 200004), forward_ly=WeekRange(199901, 199904),
+    plan_weeks=WeekRange(199952, 200053), plan_cutoff=200043,
+    default_discount=0.05, as_of=dt.date(2001, 6, 30), on_order_week=200127,
+    po_brands=("BR0", "BR1", "BR2", "BR3", "BR4"), default_brand="BR0")
+
 
 def _pid(partkey: Column) -> Column:
     return partkey % F.lit(PRODUCTS)
@@ -69,9 +82,10 @@ def product_path(partkey: Column, chan: Column) -> Column:
 
 
 def builders(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFrame]]:
-    part = lambda: load(spark, sf_dir, "part")
-    orders = lambda: load(spark, sf_dir, "orders")
-    lineitem = lambda: load(spark, sf_dir, "lineitem")
+    # each table's files are listed and its schema read once for all roles
+    part = cache(lambda: load(spark, sf_dir, "part"))
+    orders = cache(lambda: load(spark, sf_dir, "orders"))
+    lineitem = cache(lambda: load(spark, sf_dir, "lineitem"))
 
     pk, ok = F.col("l_partkey"), F.col("l_orderkey")
     ship_day = F.to_date("l_shipdate")

@@ -11,8 +11,9 @@ shared checkpoint folder, laid out as the production tables would be:
 * everything else as plain Parquet, where filters on stored columns push down.
 
 Each stage lives under ``<checkpoint dir>/forecheck-roles/<fingerprint>``; the
-fingerprint covers the input files (path, size, modification time) and the
-fixture code, so changed inputs or definitions get a new stage. Writers use a
+fingerprint covers the input files (path, size, modification time, at any depth)
+and the fixture code, so changed inputs or definitions get a new stage. Files are
+listed by Spark, so any store it reads will do; a missing input is an error. Writers use a
 fresh attempt folder and publish it by writing a one-line marker last; readers
 only ever see complete attempts.
 """
@@ -21,10 +22,10 @@ from __future__ import annotations
 
 import hashlib
 import inspect
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from forecheck.session import shared_subdir
@@ -40,19 +41,22 @@ PARTITION_BY = {
 SOURCE_TABLES = ("part", "orders", "lineitem")
 
 
-def fingerprint(sf_dir: str) -> str | None:
-    """Hash of the input files and the fixture definitions; None when the
-    inputs are not on a local file system (then nothing is staged)."""
+def fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Hash of the input files and the fixture definitions.
+
+    The files are listed and summed up by Spark (names, sizes and times only; no
+    content is read), recursively and on any file system.
+    """
     h = hashlib.sha1()
     for name in SOURCE_TABLES:
-        path = os.path.abspath(os.path.join(sf_dir, f"{name}.parquet"))
-        if not os.path.exists(path):
-            return None
-        files = ([os.path.join(path, f) for f in sorted(os.listdir(path))]
-                 if os.path.isdir(path) else [path])
-        for f in files:
-            st = os.stat(f)
-            h.update(f"{f}|{st.st_size}|{st.st_mtime_ns}\n".encode())
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                 .load(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+        state = files.agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")).alias("h")).first()
+        if not state.n:
+            raise FileNotFoundError(f"nothing to stage: {name}.parquet has no files")
+        h.update(f"{name}|{state.n}|{state.h}\n".encode())
     h.update(inspect.getsource(fixtures).encode())
     h.update(inspect.getsource(inspect.getmodule(fingerprint)).encode())
     return h.hexdigest()[:16]
@@ -66,30 +70,30 @@ def _published(spark: SparkSession, marker: str) -> str | None:
     return row[0] if row else None
 
 
-def _write_role(df: DataFrame, path: str, part_col: str | None, parts: int) -> None:
+def _write_role(df: DataFrame, path: str, part_col: str | None) -> None:
     if part_col is None:
         df.write.mode("overwrite").parquet(path)
         return
-    # range-partition on the partition column so each task writes a few
-    # contiguous week folders instead of one file per week per task
-    (df.repartitionByRange(parts, part_col)
-       .write.mode("overwrite").partitionBy(part_col).parquet(path))
+    # rows of one week meet, so a folder gets few files; adaptive execution
+    # splits a week that is too large for one task
+    df.hint("rebalance", part_col).write.mode("overwrite").partitionBy(part_col).parquet(path)
 
 
-def stage(spark: SparkSession, sf_dir: str, root: str | None = None) -> str | None:
-    """Write every role table once; return the folder of the published stage."""
-    key = fingerprint(sf_dir)
-    if key is None:
-        return None
-    root = root or shared_subdir(spark, "forecheck-roles", key)
-    marker = os.path.join(root, "_READY")
+def stage(spark: SparkSession, sf_dir: str, root: str | None = None) -> str:
+    """Write every role table once; return the folder of the published stage.
+
+    ``root`` replaces the default parent folder; stages of other inputs or
+    definitions may live in it.
+    """
+    key = fingerprint(spark, sf_dir)
+    root = f"{root}/{key}" if root else shared_subdir(spark, "forecheck-roles", key)
+    marker = f"{root}/_READY"
     attempt = _published(spark, marker)
     if attempt:
         return attempt
-    attempt = os.path.join(root, f"attempt-{uuid.uuid4().hex}")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    attempt = f"{root}/attempt-{uuid.uuid4().hex}"
     for role, build in fixtures.builders(spark, sf_dir).items():
-        _write_role(build(), os.path.join(attempt, f"{role}.parquet"), PARTITION_BY.get(role), parts)
+        _write_role(build(), f"{attempt}/{role}.parquet", PARTITION_BY.get(role))
     spark.createDataFrame([(attempt,)], "attempt string").coalesce(1).write.mode(
         "overwrite").text(marker)
     return attempt
@@ -102,14 +106,12 @@ def staged_tables(spark: SparkSession, sf_dir: str, root: str | None = None) ->
     partition columns keep their declared types (week keys stay bigint).
     """
     attempt = stage(spark, sf_dir, root)
-    if attempt is None:
-        return Tables.from_driver_tables(spark, sf_dir)
     views = Tables.from_driver_tables(spark, sf_dir)
 
     def reader(role: str):
         def build() -> DataFrame:
             schema = views[role].schema
-            df = spark.read.schema(schema).parquet(os.path.join(attempt, f"{role}.parquet"))
+            df = spark.read.schema(schema).parquet(f"{attempt}/{role}.parquet")
             return df.select(*schema.fieldNames())
         return build
 

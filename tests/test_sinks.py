@@ -2,6 +2,9 @@ import datetime as dt
 import os
 import uuid
 
+import pytest
+from pyspark.sql import functions as F
+
 from forecheck.session import shared_subdir
 from forecheck.sources import sinks
 
@@ -44,3 +47,59 @@ def test_export_job_table_and_report(spark, capsys):
     back = spark.read.option("header", True).csv(path2)
     assert back.columns == ["l0_name", "l1_name", "explainable_count", "non_explainable_count"]
     assert back.count() == 12
+
+
+def _moved_role_tables(spark, years=26, channel="Web"):
+    """The test role tables, moved to other years, brands and channels."""
+    from conftest import SF_SMALL
+    from forecheck.sources.tables import ROLES, Tables
+
+    roles = Tables.from_driver_tables(spark, SF_SMALL)
+    names = {}
+    for role in ROLES:
+        df = roles[role]
+        for c, kind in df.dtypes:
+            if kind == "date":
+                # whole weeks, so Saturdays stay Saturdays
+                df = df.withColumn(c, F.date_add(c, 364 * years))
+            elif c in ("fiscal_year",):
+                df = df.withColumn(c, F.col(c) + years)
+            elif c in ("fy_week_id", "current_week", "fiscal_year_week"):
+                df = df.withColumn(c, F.col(c) + 100 * years)
+            elif kind == "string":
+                df = df.withColumn(c, F.regexp_replace(F.regexp_replace(c, "Online", channel), "BR", "QX"))
+        names[role] = f"moved_{role}"
+        df.createOrReplaceTempView(names[role])
+    return names
+
+
+def test_export_job_on_role_tables_needs_and_uses_params(spark, small_report, capsys):
+    import json
+
+    from forecheck.plans import export_job
+
+    roles = _moved_role_tables(spark)
+    out = shared_subdir(spark, "test-export-job", uuid.uuid4().hex)
+    base = ["--roles", json.dumps(roles), "--out", out, "--format", "parquet"]
+    with pytest.raises(SystemExit):
+        export_job.main(base)
+    assert "--params" in capsys.readouterr().err
+    week = lambda lo, hi: [lo + 2600, hi + 2600]
+    params = {
+        "plan_channel": "Web", "history_channel": "Web", "order_channel": "Web",
+        "inventory_platform": "Web", "forecast_sub_channel": "Web", "sales_sub_channel": "Web",
+        "this_year": 2025, "last_year": 2024, "recent": week(199949, 199952),
+        "recent_ly": week(199849, 199852), "forward": week(200001, 200004),
+        "forward_ly": week(199901, 199904), "plan_weeks": week(199952, 200053),
+        "plan_cutoff": 202643, "default_discount": 0.05, "on_order_week": 202727,
+        "as_of": (dt.date(2001, 6, 30) + dt.timedelta(days=364 * 26)).isoformat(),
+        "po_brands": ["QX0", "QX1", "QX2", "QX3", "QX4"], "default_brand": "QX0"}
+    path = export_job.main([*base, "--params", json.dumps(params)])
+    got = {tuple(r) for r in spark.read.parquet(path).collect()}
+    want = {(r[0].replace("BR", "QX"), *r[1:]) for r in small_report.rollup().collect()}
+    assert got == want and got
+    with pytest.raises(SystemExit, match="forward_ly"):
+        export_job.main([*base, "--params", json.dumps(params | {"forward_ly": [190001, 190004]})])
+    with pytest.raises(ValueError, match="missing.*this_year.*unknown.*oops"):
+        export_job.main([*base, "--params", json.dumps(
+            {k: v for k, v in params.items() if k != "this_year"} | {"oops": 1})])

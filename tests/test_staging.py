@@ -3,27 +3,52 @@ reaching the scan as partition filters."""
 
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from forecheck.plans.report import ForecastValidation
 from forecheck.session import shared_subdir
-from forecheck.sources.staging import staged_tables
+from forecheck.sources import fixtures
+from forecheck.sources.staging import fingerprint, stage, staged_tables
 
 
 def test_staged_tables_match_views(spark, small_report):
     root = shared_subdir(spark, "test-stage", uuid.uuid4().hex)
-    staged = ForecastValidation(staged_tables(spark, SF_SMALL, root))
+    staged = ForecastValidation(staged_tables(spark, SF_SMALL, root), fixtures.PARAMS)
     for role in ("sales_weekly", "weekly_history", "forecast_item", "inventory"):
         assert staged.t[role].schema.simpleString() == small_report.t[role].schema.simpleString()
     for a, b in ((staged.rollup(), small_report.rollup()),
                  (staged.comp_wide, small_report.comp_wide),
                  (staged.chain, small_report.chain)):
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-    plan = staged.units(staged.p.recent)._jdf.queryExecution().executedPlan().toString()
-    assert "fy_week_id" in plan and "PartitionFilters: [isnotnull(fy_week_id" in plan \
-        or "partitionfilters" in plan.lower()
+    # the week window reaches the scan as a partition filter and prunes folders
+    window = staged.t.sales_weekly.where(F.col("fy_week_id").between(199949, 199952))
+    plan = window._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters: [") + len("PartitionFilters: ["):]
+    assert "fy_week_id" in filters[:filters.index("]")]
+    assert len(window.inputFiles()) > 0
+    read = {r.f for r in window.select(F.input_file_name().alias("f")).distinct().collect()}
+    every = set(staged.t.sales_weekly.inputFiles())
+    assert 0 < len(read) <= 4 * 8 < len(every)
+    assert all(any(f"fy_week_id={w}" in f for w in range(199949, 199953)) for f in read)
     # a second call reuses the published stage
-    again = staged_tables(spark, SF_SMALL, root)
-    assert again.sales_weekly.where(F.col("fy_week_id") == 199949).count() == \
-        small_report.t.sales_weekly.where(F.col("fy_week_id") == 199949).count()
+    again = stage(spark, SF_SMALL, root)
+    assert again == stage(spark, SF_SMALL, root)
+    staged.close()
+
+
+def test_changed_nested_file_gets_a_new_stage(spark, tmp_path):
+    for name in ("part", "orders", "lineitem"):
+        spark.read.parquet(f"{SF_SMALL}/{name}.parquet").limit(50).write.parquet(
+            f"{tmp_path}/{name}.parquet/day=1")
+    before = fingerprint(spark, str(tmp_path))
+    assert before == fingerprint(spark, str(tmp_path))
+    spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").limit(10).write.parquet(
+        f"{tmp_path}/lineitem.parquet/day=2")
+    assert fingerprint(spark, str(tmp_path)) != before
+
+
+def test_staging_without_inputs_fails(spark, tmp_path):
+    with pytest.raises(Exception, match="(?i)path|no files"):
+        staged_tables(spark, str(tmp_path))
