@@ -6,7 +6,6 @@ Layout
 ``functions``  column-level helpers (fiscal weeks, product paths, safe arithmetic)
 ``operators``  DataFrame -> DataFrame transformations, one per business step
 ``plans``      end-to-end report composition, query registry and SQL oracle twins
-``streaming``  intentionally empty: the workload is a batch report
 """
 
 from forecheck.config import ReportParams, WeekRange

@@ -114,13 +114,3 @@ def comparable_filter(cand: DataFrame, band: tuple[float, float], min_frequency:
                        & (F.col("most_recent_oh") > F.lit(float(min_on_hand))))
             .select("product_code")
             .distinct())
-
-
-def comparable_products(ty: DataFrame, ly: DataFrame, band: tuple[float, float],
-                        min_frequency: float = 0.3, min_on_hand: float = 100.0,
-                        on_hand: str = "as_written", ty_qty: str = "qty_ty",
-                        ly_qty: str = "qty_ly") -> DataFrame:
-    """Product codes comparable between two years (one column, distinct):
-    ``comparable_candidates`` then ``comparable_filter``."""
-    return comparable_filter(comparable_candidates(ty, ly, on_hand, ty_qty, ly_qty),
-                             band, min_frequency, min_on_hand)

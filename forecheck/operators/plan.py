@@ -8,23 +8,31 @@ from pyspark.sql import functions as F
 from forecheck.config import WeekRange
 from forecheck.functions import fiscal
 from forecheck.functions.numeric import flag
+from forecheck.functions.paths import LEVELS
 from forecheck.operators.hierarchy import hierarchy_paths
 from forecheck.operators.relational import flag_in
 
 
 def plan_snapshot(df: DataFrame, channel: str, weeks: WeekRange,
-                  measures: dict[str, str], scenario_as: str = "scenario1") -> DataFrame:
-    """One channel and week range of a plan table, renamed, distinct.
+                  measures: dict[str, str], scenario_as: str = "scenario1",
+                  distinct: bool = True) -> DataFrame:
+    """One channel and week range of a plan table, renamed, distinct (unless the
+    caller de-duplicates on fewer columns itself).
 
     Output: channel, hierarchy_code, fiscal_year_week, <scenario_as>, measures.
     """
-    return (df.where((F.col("sub_channel") == channel)
+    rows = (df.where((F.col("sub_channel") == channel)
                      & F.col("current_week").between(weeks.lo, weeks.hi))
             .select(F.col("sub_channel").alias("channel"), "hierarchy_code",
                     F.col("current_week").alias("fiscal_year_week"),
                     F.col("scenario").alias(scenario_as),
-                    *[F.col(src).alias(dst) for src, dst in measures.items()])
-            .distinct())
+                    *[F.col(src).alias(dst) for src, dst in measures.items()]))
+    return rows.distinct() if distinct else rows
+
+
+_PATHS = [*LEVELS, "product_code"]
+_WEEK_KEYS = ["channel", "hierarchy_code", "fiscal_year_week"]
+_MEASURES = ["wp", "qty_ly", "qty_lly", "aur_lly", "aur_ly"]
 
 
 def align_plan_years(base: DataFrame, bridge: DataFrame, working: DataFrame,
@@ -36,31 +44,26 @@ def align_plan_years(base: DataFrame, bridge: DataFrame, working: DataFrame,
     Output: l0_name..l5_name and product_code as paths, then base columns,
     wp, qty_ly, qty_lly, aur_lly, aur_ly.
     """
-    keys3 = ["channel", "hierarchy_code", "fiscal_year_week"]
-    # The snapshot is small and the joins below fan it out (SKUs per code times
-    # prior-year scenarios), so spread it over the session's shuffle
-    # parallelism first: an explicit count is not coalesced by adaptive
-    # execution, and hashing on the snapshot's own key (about one row per key)
-    # cannot concentrate rows. A later DISTINCT over these columns reuses this
-    # partitioning instead of shuffling the fanned-out rows.
-    parts = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    a = base.repartition(parts, "hierarchy_code", "fiscal_year_week", "scenario1").alias("a")
-    joined = (a.join(bridge.alias("b"), F.col("a.hierarchy_code") == F.col("b.hierarchy_code"), "left")
-              .join(working.alias("c"), [F.col(f"a.{k}") == F.col(f"c.{k}") for k in keys3]
-                    + [F.col("a.scenario1") == F.col("c.scenario1")], "left")
-              .join(ly.alias("d"), [F.col(f"a.{k}") == F.col(f"d.{k}") for k in keys3], "left")
-              .join(lly.alias("e"), [F.col(f"a.{k}") == F.col(f"e.{k}") for k in keys3], "left"))
-    levels = ["l0_name", "l1_name", "l2_name", "l3_name", "l4_name", "l5_name"]
-    flat = joined.select(
-        F.col("a.channel").alias("__path_channel"),
-        *[F.col(f"b.{c}").alias(c) for c in levels],
-        F.col("b.product_code").alias("product_code"),
-        *[F.col(f"a.{c}") for c in base.columns],
-        F.col("c.wp"), F.col("d.qty_ly"), F.col("e.qty_lly"),
-        F.col("e.aur_lly"), F.col("d.aur_ly"))
+    by_code = bridge.drop("product_id").withColumnRenamed("hierarchy_code", "__code")
+    flat = (_plan_years(base, working, ly, lly)
+            .join(by_code, F.col("hierarchy_code") == F.col("__code"), "left")
+            .select(F.col("channel").alias("__path_channel"), *_PATHS, *base.columns, *_MEASURES))
     return hierarchy_paths(flat, channel="__path_channel").drop("__path_channel")
 
 
+def _plan_years(base: DataFrame, working: DataFrame, ly: DataFrame, lly: DataFrame) -> DataFrame:
+    """The four plan snapshots side by side.
+
+    The working plan is joined first (about one row per plan row); the prior years
+    share the key (channel, code, week), so one hash layout of the plan rows
+    serves both. They multiply the rows, so a rebalance follows: adaptive
+    execution sizes the partitions of the fan-out by their measured bytes.
+    """
+    return (base.join(working, [*_WEEK_KEYS, "scenario1"], "left")
+            .join(ly, _WEEK_KEYS, "left").join(lly, _WEEK_KEYS, "left")
+            .select(*base.columns, *_MEASURES).hint("rebalance"))
+
+
 def normalize_forecast(df: DataFrame) -> DataFrame:
     """Week key split into year and week, discount rounded to 2 places.
 
@@ -74,23 +77,35 @@ def normalize_forecast(df: DataFrame) -> DataFrame:
                      F.col("w_sls_u").alias("qty"))
 
 
-def validation_flags(aligned: DataFrame, forecast: DataFrame, comp_narrow: DataFrame,
+def validation_flags(base: DataFrame, bridge: DataFrame, working: DataFrame, ly: DataFrame,
+                     lly: DataFrame, forecast: DataFrame, comp_narrow: DataFrame,
                      comp_wide: DataFrame, selling_products: DataFrame,
-                     new_products: DataFrame, cutoff: int) -> DataFrame:
+                     new_products: DataFrame, channel: str, cutoff: int) -> DataFrame:
     """Plan rows with the model forecast and seven 0/1 flags, up to ``cutoff``.
 
-    ``comp_narrow``, ``comp_wide``, ``selling_products`` and ``new_products``
-    are one-column distinct product-code sets. Output is distinct.
+    ``base`` holds the rows of one ``channel``. ``comp_narrow``, ``comp_wide``,
+    ``selling_products`` and ``new_products`` are one-column distinct product-code
+    sets. Output is distinct.
+
+    Every input is made distinct on what the output keeps of it, before the
+    joins: the prior years without their scenarios, the bridge as (code, paths),
+    the forecast on key and quantity. A result row then fixes its row of every
+    input, so the joined rows are distinct by construction and the fanned-out
+    table needs no aggregate.
     """
-    a = aligned.where(F.col("fiscal_year_week") <= cutoff)
-    f = forecast.where(F.col("fiscal_year_week") <= cutoff).select(
-        "product_code", "fiscal_year_week", "scenario1", F.col("qty").alias("predicted"))
-    # every flag is a function of columns already in the row, so de-duplicate
-    # first and attach the flags to the distinct rows
+    upto = F.col("fiscal_year_week") <= cutoff
+    paths = (hierarchy_paths(bridge.withColumn("__channel", F.lit(channel)), channel="__channel")
+             .select(F.col("hierarchy_code").alias("__code"), *_PATHS).distinct())
+    plans = _plan_years(base.where(upto), working.where(upto).distinct(),
+                        ly.where(upto).drop("scenario_ly").distinct(),
+                        lly.where(upto).drop("scenario_lly").distinct())
+    a = (plans.join(paths, F.col("hierarchy_code") == F.col("__code"), "left")
+         .select(*_PATHS, *base.columns, *_MEASURES))
+    f = forecast.where(upto).select(
+        "product_code", "fiscal_year_week", "scenario1", F.col("qty").alias("predicted")).distinct()
     final = (a.join(f, ["product_code", "fiscal_year_week", "scenario1"], "left")
              .withColumn("fiscal_year", fiscal.key_year_text("fiscal_year_week"))
-             .withColumn("fiscal_week", fiscal.key_week_text("fiscal_year_week"))
-             .distinct())
+             .withColumn("fiscal_week", fiscal.key_week_text("fiscal_year_week")))
     code = F.col("product_code")
     out = flag_in(final, code, comp_narrow, "comp_flag_30")
     out = flag_in(out, code, comp_wide, "comp_flag_50")

@@ -1,16 +1,18 @@
 """Join building blocks shared by the business operators.
 
-* ``small_side``: broadcast a join side only after its row count was checked.
+* ``Sides``: broadcast a join side only after its rows and bytes were measured.
 * ``flag_in``: ``CASE WHEN key IN (set) THEN 1 ELSE 0 END`` as a left join
   against the distinct key set (NULL keys get 0, duplicates in the set are
   ignored, rows are never multiplied).
-* ``not_in``: ``key NOT IN (set)`` with SQL's NULL rules, as a hash anti join
-  plus two scalar guards, so it never degrades to a nested-loop join.
+* ``not_in_flag``: ``key NOT IN (set)`` with SQL's NULL rules from a hash join and
+  two scalar guards, so it never degrades to a nested-loop join.
 """
 
 from __future__ import annotations
 
 import itertools
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -25,32 +27,66 @@ def _fresh(prefix: str) -> str:
     return f"__{prefix}_{next(_ids)}"
 
 
-# estimated in-memory bytes per value, by type name (strings: a generous
-# average for codes and names; unknown types count as wide)
-_WIDTH = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "date": 4, "float": 4,
-          "long": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8, "string": 48}
+@dataclass(frozen=True)
+class Side:
+    """A join side and whether its measured size allows a broadcast."""
 
+    df: DataFrame
+    fits: bool
 
-def row_width(df: DataFrame) -> int:
-    """Estimated bytes per row of ``df`` (row header plus one slot per column)."""
-    return 16 + sum(_WIDTH.get(f.dataType.typeName(), 64) for f in df.schema.fields)
+    @property
+    def frame(self) -> DataFrame:
+        return F.broadcast(self.df) if self.fits else self.df
 
+    def keys(self, key: Column | str, name: str = "key") -> Side:
+        """Distinct values of ``key`` as a one-column side. They are no more and
+        no larger than the rows they come from, so they need no check."""
+        k = F.col(key) if isinstance(key, str) else key
+        return Side(self.df.select(k.alias(name)).distinct(), self.fits)
 
-def small_side(df: DataFrame, sizing: Sizing = DEFAULT_SIZING) -> DataFrame:
-    """Persist a small join side, count it, and hint a broadcast only when the
-    count is within ``sizing.broadcast_max_rows`` and the estimated size
-    (count x ``row_width``) within ``sizing.broadcast_max_bytes``.
 
-    Above the bound the frame is returned unhinted and the join shuffles both
-    sides (adaptive execution still splits skewed partitions). The persisted
-    copy is what both the count and the join read, so the side is computed once;
-    lost cached blocks are recomputed from lineage.
+class Sides:
+    """Measures join sides and remembers what it persisted.
+
+    A candidate side is persisted (MEMORY_AND_DISK) and filled; it fits when the
+    cache's rows are within ``sizing.broadcast_max_rows`` and its bytes in the cache within
+    ``sizing.broadcast_max_bytes``. A side that does not fit is released again and
+    returned as it was: the join then shuffles both sides, and adaptive execution
+    still splits skewed partitions. The persisted copy is what the join reads, so
+    a side is computed once; lost cached blocks are recomputed from lineage.
     """
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = kept.count()
-    fits = (rows <= sizing.broadcast_max_rows
-            and rows * row_width(kept) <= sizing.broadcast_max_bytes)
-    return F.broadcast(kept) if fits else kept
+
+    def __init__(self, sizing: Sizing = DEFAULT_SIZING):
+        self.sizing = sizing
+        self.kept: list[DataFrame] = []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """Persist a frame that several steps read."""
+        kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+        self.kept.append(kept)
+        return kept
+
+    def check(self, df: DataFrame) -> Side:
+        kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+        kept.write.format("noop").mode("overwrite").save()
+        # a fresh plan over the filled cache reports the cache's real rows and bytes
+        stats = kept.select("*")._jdf.queryExecution().optimizedPlan().stats()
+        rows, size = int(str(stats.rowCount().get())), int(str(stats.sizeInBytes()))
+        if rows <= self.sizing.broadcast_max_rows and size <= self.sizing.broadcast_max_bytes:
+            self.kept.append(kept)
+            return Side(kept, True)
+        kept.unpersist()
+        return Side(df, False)
+
+    def check_all(self, frames: dict[str, DataFrame]) -> dict[str, Side]:
+        """Measure several sides at the same time."""
+        with ThreadPoolExecutor(max_workers=max(1, len(frames))) as pool:
+            return dict(zip(frames, pool.map(self.check, frames.values())))
+
+    def close(self) -> None:
+        """Release everything that was persisted."""
+        while self.kept:
+            self.kept.pop().unpersist()
 
 
 def bounded_broadcast(df: DataFrame) -> DataFrame:
@@ -59,17 +95,10 @@ def bounded_broadcast(df: DataFrame) -> DataFrame:
     return F.broadcast(df)
 
 
-def key_set(df: DataFrame, key: Column | str, sizing: Sizing = DEFAULT_SIZING,
-            name: str = "key") -> DataFrame:
-    """Distinct values of ``key`` as a one-column size-checked frame."""
-    k = F.col(key) if isinstance(key, str) else key
-    return small_side(df.select(k.alias(name)).distinct(), sizing)
-
-
 def flag_in(df: DataFrame, key: Column, keys: DataFrame, out: str) -> DataFrame:
     """Add ``out`` = 1 when ``key`` is in the one-column frame ``keys``, else 0.
 
-    ``keys`` must be distinct (use ``key_set``); the join then cannot multiply
+    ``keys`` must be distinct (``Side.keys``); the join then cannot multiply
     rows. A NULL key never matches, which is the 0 of ``CASE WHEN x IN ...``.
     """
     k = _fresh("k")
@@ -80,28 +109,6 @@ def flag_in(df: DataFrame, key: Column, keys: DataFrame, out: str) -> DataFrame:
             .drop(k, hit))
 
 
-def not_in(df: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
-    """Rows where ``key NOT IN (keys)`` is true, with SQL NULL rules:
-
-    * empty set: every row is kept, NULL keys included;
-    * a NULL in the set: no row is kept;
-    * otherwise rows whose key is non-NULL and unmatched.
-
-    The set's "has NULL" and "is empty" facts are one scalar subquery
-    (merged by the optimizer), the match is a hash anti join.
-    """
-    name = keys.columns[0]
-    facts = keys.agg(F.count(F.lit(1)).alias("n"),
-                     F.count(F.col(name)).alias("n_nonnull"))
-    n_all = facts.select("n").scalar()
-    n_nonnull = facts.select("n_nonnull").scalar()
-    matched = keys.where(F.col(name).isNotNull())
-    k = _fresh("k")
-    right = matched.select(F.col(name).alias(k))
-    kept = df.join(right, key == F.col(k), "left_anti")
-    return kept.where((n_all == n_nonnull) & (key.isNotNull() | (n_all == 0)))
-
-
 def not_in_flag(key: Column, hit: Column, keys: DataFrame) -> Column:
     """Boolean column for ``key NOT IN (keys)`` given ``hit`` = key matched the
     non-NULL set (from a left join). NULL when SQL would give NULL."""

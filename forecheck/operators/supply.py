@@ -4,19 +4,19 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forecheck.config import DEFAULT_SIZING, Sizing
 from forecheck.functions import fiscal
-from forecheck.operators.relational import bounded_broadcast, small_side
+from forecheck.operators.relational import bounded_broadcast
 
 CHAIN_COLUMNS = ("l0_name", "sku", "po_date", "date_shipped", "quantity_shipped",
                  "warehouse_date", "ordered_quantity", "channel", "initial_eta")
 
 
 def po_status(po: DataFrame, packing: DataFrame, receipt: DataFrame, as_of: dt.date,
-              brands: tuple[str, ...], default_brand: str) -> DataFrame:
+              brands: tuple[str, ...], default_brand: str,
+              arriving: tuple[Column, Column] | None = None) -> DataFrame:
     """Purchase-order lines with their shipments and receipts, distinct.
 
     * brand outside ``brands`` (or NULL) becomes ``default_brand``;
@@ -25,13 +25,25 @@ def po_status(po: DataFrame, packing: DataFrame, receipt: DataFrame, as_of: dt.d
     * an ETA on or before tomorrow whose line is not shipped or not received
       moves to tomorrow (tomorrow = ``as_of`` + 1).
 
+    ``arriving`` (first and last day) keeps the lines whose final ETA lies in
+    between. What that implies for the stored ETA is tested on the purchase
+    orders, before any shuffle; the few remaining keys then cut packing list and
+    receipts with semi joins.
+
     The result drops ``po_number``, so identical lines of different orders
     collapse. Both sides are de-duplicated on (join key + kept columns) before
     the join: that cannot change a DISTINCT result and keeps the join from
-    pairing up duplicate rows of one order line.
+    pairing up duplicate rows of one order line. Each left join is an inner join
+    plus the unmatched rows, because adaptive execution can split a hot key on
+    either side of an inner join, but only on the left of a left join.
     Output columns: ``CHAIN_COLUMNS``.
     """
     key = ["po_number", "sku"]
+    tomorrow = F.date_add(F.lit(as_of), 1)
+    if arriving is not None:
+        first, last = arriving
+        po = po.where(F.col("intial_eta").between(first, last)
+                      | ((F.col("intial_eta") <= tomorrow) & tomorrow.between(first, last)))
     lines = (po.select(
         F.when(F.col("l0_name").isin(list(brands)), F.col("l0_name"))
          .otherwise(F.lit(default_brand)).alias("l0_name"),
@@ -40,31 +52,39 @@ def po_status(po: DataFrame, packing: DataFrame, receipt: DataFrame, as_of: dt.d
     wr = receipt.select(
         "po_number", F.col("product_code").alias("sku"), "container_number",
         "inventory_packing_list_summary_id", F.to_date("date_received").alias("warehouse_date"))
-    shipped = (packing.join(wr, ["po_number", "sku", "container_number",
-                                 "inventory_packing_list_summary_id"], "left")
+    if arriving is not None:
+        wanted = po.select(*key).distinct()
+        packing, wr = packing.join(wanted, key, "left_semi"), wr.join(wanted, key, "left_semi")
+    shipped = (_left(packing, wr, [*key, "container_number", "inventory_packing_list_summary_id"])
                .select(*key, "date_shipped", "quantity_shipped", "warehouse_date")
                .distinct())
-    tomorrow = F.date_add(F.lit(as_of), 1)
     eta = (F.when((F.col("intial_eta") <= tomorrow)
                   & (F.col("date_shipped").isNull() | F.col("warehouse_date").isNull()), tomorrow)
            .otherwise(F.col("intial_eta")))
-    return (lines.join(shipped, key, "left")
-            .select("l0_name", "sku", "po_date", "date_shipped", "quantity_shipped",
-                    "warehouse_date", "ordered_quantity", "channel", eta.alias("initial_eta"))
-            .distinct())
+    chain = (_left(lines, shipped, key)
+             .select("l0_name", "sku", "po_date", "date_shipped", "quantity_shipped",
+                     "warehouse_date", "ordered_quantity", "channel", eta.alias("initial_eta")))
+    if arriving is not None:
+        chain = chain.where(F.col("initial_eta").between(first, last))
+    return chain.distinct()
+
 
+def _left(left: DataFrame, right: DataFrame, key: list[str]) -> DataFrame:
+    """Left join on equal columns, as inner join and unmatched remainder."""
+    return left.join(right, key).unionByName(left.join(right, key, "left_anti"),
+                                             allowMissingColumns=True)
 
-def open_by_arrival(chain: DataFrame, calendar: DataFrame, as_of: dt.date,
-                    sizing: Sizing = DEFAULT_SIZING) -> DataFrame:
+
+def open_by_arrival(chain: DataFrame, calendar: DataFrame, as_of: dt.date) -> DataFrame:
     """Open units per brand, arrival date, arrival week, SKU and channel.
 
     Only lines whose order date is a calendar date and whose ETA is a calendar
     date after ``as_of``. ``oo_temp``: ordered units not shipped and not
     received; ``oo_temp_it``: shipped units not yet received.
     """
-    cal = small_side(calendar.select("date", "fy_week_id"), sizing)
+    cal = calendar.select("date", "fy_week_id")
     order_day = cal.select(F.col("date").alias("__po_day"))
-    arrival = cal.select(F.col("date").alias("date"), F.col("fy_week_id").alias("fy_week_id"))
+    arrival = cal.where(F.col("date") > F.lit(as_of))
     rows = (chain.where(F.col("l0_name").isNotNull() & F.col("sku").isNotNull()
                         & (F.col("initial_eta") > F.lit(as_of)))
             .join(order_day, F.col("po_date") == F.col("__po_day"))
@@ -78,19 +98,10 @@ def open_by_arrival(chain: DataFrame, calendar: DataFrame, as_of: dt.date,
             .agg(F.sum(open_units).alias("oo_temp"), F.sum(in_transit).alias("oo_temp_it")))
 
 
-def arriving_in_week(chain: DataFrame, calendar: DataFrame, week: int) -> DataFrame:
-    """Chain rows whose ETA lies between the first and last calendar date of
-    ``week`` (two scalar subqueries over the calendar, no collect).
-
-    Only such rows can meet that week in ``open_by_arrival``'s calendar join, so
-    the bound is implied and safe; it is a filter on a DISTINCT output column,
-    so the optimizer applies it before the chain's final shuffle and only one
-    week's arrivals are de-duplicated.
-    """
+def week_span(calendar: DataFrame, week: int) -> tuple[Column, Column]:
+    """First and last calendar date of a fiscal week, as scalar subqueries."""
     days = calendar.where(F.col("fy_week_id") == week)
-    first = days.agg(F.min("date")).scalar()
-    last = days.agg(F.max("date")).scalar()
-    return chain.where(F.col("initial_eta").between(first, last))
+    return days.agg(F.min("date")).scalar(), days.agg(F.max("date")).scalar()
 
 
 def on_order_units(arrivals: DataFrame, channel: str, week: int) -> DataFrame:

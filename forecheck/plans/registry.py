@@ -2,7 +2,7 @@
 
 Every query builds the role tables from the driver tables in ``sf_dir`` and
 runs one step (or the whole) of the report over them; nothing is sampled or
-capped. Parameters are the ``ReportParams()`` defaults.
+capped. Parameters are ``fixtures.PARAMS``.
 """
 
 from __future__ import annotations
@@ -17,12 +17,12 @@ from pyspark.sql import functions as F
 from forecheck.operators import comparable, forecast, hierarchy
 from forecheck.plans.report import ForecastValidation
 from forecheck.session import shared_subdir
-from forecheck.sources import sinks
+from forecheck.sources import fixtures, sinks
 from forecheck.sources.tables import Tables
 
 
 def report(spark: SparkSession, sf_dir: str) -> ForecastValidation:
-    return ForecastValidation(Tables.from_driver_tables(spark, sf_dir))
+    return ForecastValidation(Tables.from_driver_tables(spark, sf_dir), fixtures.PARAMS)
 
 
 def _q(build: Callable[[ForecastValidation], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -57,6 +57,13 @@ def _report_export(r: ForecastValidation) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _stored_report_profile(r: ForecastValidation) -> DataFrame:
+    """Store the rollup as a table, read that table whole and profile it."""
+    spark = r.t.spark
+    path = sinks.export_report(r.rollup(), shared_subdir(spark, "tables", uuid.uuid4().hex), "parquet")
+    return sinks.run_profile(spark.read.parquet(path).select("*"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "plan_snapshot": _q(lambda r: r.plan_base),
     "product_bridge": _q(lambda r: r.bridge),
@@ -95,4 +102,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sku_detail_report": _q(lambda r: r.detail()),
     "report_profile": _q(lambda r: sinks.run_profile(r.rollup())),
     "report_export": _q(_report_export),
+    "stored_report_profile": _q(_stored_report_profile),
 }

@@ -22,7 +22,6 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,29 +29,54 @@ from forecheck.config import DEFAULT_SIZING, ReportParams, Sizing
 from forecheck.functions.paths import brand_sku_key
 from forecheck.operators import (actuals, comparable, explain, forecast, hierarchy, plan,
                                  supply)
-from forecheck.operators.relational import key_set, small_side
+from forecheck.operators.relational import Side, Sides
 from forecheck.sources.tables import Tables
 
 
 class ForecastValidation:
-    def __init__(self, tables: Tables, params: ReportParams | None = None,
-                 sizing: Sizing = DEFAULT_SIZING):
+    """Use as a context manager, or call ``close()`` when the results are written:
+    it releases the frames that were persisted."""
+
+    def __init__(self, tables: Tables, params: ReportParams, sizing: Sizing = DEFAULT_SIZING):
         self.t = tables
-        self.p = params or ReportParams()
-        self.sizing = sizing
+        self.p = params
+        self.sides = Sides(sizing)
         self._cand: dict[str, DataFrame] = {}
 
+    def close(self) -> None:
+        self.sides.close()
+
+    def __enter__(self) -> ForecastValidation:
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.close()
+
+    # ---- measured join sides -------------------------------------------------
+    # only sides that meet a raw fact table are measured; everything else is
+    # left to adaptive execution, which knows the size of finished shuffles
+    @cached_property
+    def _fact_sides(self) -> dict[str, Side]:
+        """The sides of the forecast and sales facts, measured at the same time."""
+        rows = plan.plan_snapshot(self.t.plan_forecast, self.p.plan_channel, self.p.plan_weeks, {},
+                                  distinct=False)
+        upto = rows.where(F.col("fiscal_year_week") <= self.p.plan_cutoff)
+        return self.sides.check_all({
+            "active": hierarchy.active_hierarchy(self.t.hierarchy, self.t.product,
+                                                 self.p.hierarchy_level),
+            "discounts": plan.validated_discounts(upto),
+            "comparable_skus": hierarchy.product_code_parts(self.comp_wide, self.p.history_channel),
+        })
+
     # ---- product dimension -------------------------------------------------
     @cached_property
     def active(self) -> DataFrame:
         """Active hierarchy rows at the mapping level (size-checked dimension)."""
-        return small_side(hierarchy.active_hierarchy(self.t.hierarchy, self.t.product,
-                                                     self.p.hierarchy_level), self.sizing)
+        return self._fact_sides["active"].frame
 
     @cached_property
     def bridge(self) -> DataFrame:
-        return small_side(hierarchy.product_bridge(self.t.product, self.t.hierarchy,
-                                                   self.p.hierarchy_level), self.sizing)
+        return hierarchy.product_bridge(self.t.product, self.t.hierarchy, self.p.hierarchy_level)
 
     # ---- plan side -----------------------------------------------------------
     @cached_property
@@ -79,11 +103,13 @@ class ForecastValidation:
 
     @cached_property
     def aligned(self) -> DataFrame:
-        # the working and prior-year snapshots cover one channel and one plan
-        # year: size-checked, so the fanned-out plan rows stream past them
-        side = lambda df: small_side(df, self.sizing)
-        return plan.align_plan_years(self.plan_base, self.bridge, side(self.plan_wp),
-                                     side(self.plan_ly), side(self.plan_lly))
+        return plan.align_plan_years(self.plan_base, self._bridge_side, self.plan_wp,
+                                     self.plan_ly, self.plan_lly)
+
+    @cached_property
+    def _bridge_side(self) -> DataFrame:
+        # the plan rows fan out on the bridge and should not be shuffled for it
+        return self.sides.check(self.bridge).frame
 
     @cached_property
     def forecast_norm(self) -> DataFrame:
@@ -91,7 +117,10 @@ class ForecastValidation:
 
     @cached_property
     def validation(self) -> DataFrame:
-        codes = lambda df: key_set(df, "product_code", self.sizing)
+        # the wide band holds every product of the narrow one, and this year's
+        # products hold both: one measured set vouches for the others
+        products = self.sides.check(self.hist_ty.select("product_code").distinct())
+        codes = lambda df: Side(df, products.fits).keys("product_code").frame
         selling = self.hist_ty.where(F.col("qty_ty") > 0)
         new = self.t.simulation.where(
             F.col("algorithm_name").isin(list(self.p.new_product_algorithms)))
@@ -99,9 +128,10 @@ class ForecastValidation:
         weeks = self.p.plan_weeks
         fc = self.forecast_norm.where(
             F.col("fiscal_year_week").between(weeks.lo, min(weeks.hi, self.p.plan_cutoff)))
-        return plan.validation_flags(self.aligned, small_side(fc, self.sizing),
-                                     codes(self.comp_narrow), codes(self.comp_wide),
-                                     codes(selling), codes(new), self.p.plan_cutoff)
+        return plan.validation_flags(
+            self.plan_base, self._bridge_side, self.plan_wp, self.plan_ly, self.plan_lly, fc,
+            codes(self.comp_narrow), codes(self.comp_wide), codes(selling),
+            Side(new, False).keys("product_code").frame, self.p.plan_channel, self.p.plan_cutoff)
 
     @cached_property
     def discounts(self) -> DataFrame:
@@ -111,20 +141,19 @@ class ForecastValidation:
         plan snapshot; left joins keep every snapshot row, so its distinct
         (code, week, scenario) equals the snapshot's, read here directly.
         """
-        base = self.plan_base.where(F.col("fiscal_year_week") <= self.p.plan_cutoff)
-        return small_side(plan.validated_discounts(base), self.sizing)
+        return self._fact_sides["discounts"].frame
 
     @cached_property
     def discount_codes(self) -> DataFrame:
-        return key_set(self.discounts, "hierarchy_code", self.sizing, "hierarchy_code")
+        return self._fact_sides["discounts"].keys("hierarchy_code", "hierarchy_code").frame
 
     # ---- comparable products -------------------------------------------------
     @cached_property
     def hist_ty(self) -> DataFrame:
         """This year's weekly rows (one row per product-week; reused by several
         steps, so kept once)."""
-        return comparable.weekly_history(self.t.weekly_history, self.p.this_year, "qty_ty",
-                                         self.p.year_shift).persist(StorageLevel.MEMORY_AND_DISK)
+        return self.sides.keep(comparable.weekly_history(
+            self.t.weekly_history, self.p.this_year, "qty_ty", self.p.year_shift))
 
     @cached_property
     def hist_ly(self) -> DataFrame:
@@ -135,8 +164,8 @@ class ForecastValidation:
         """Per-product comparability figures, one row per product, kept once per
         stock reading and shared by both tolerance bands."""
         if on_hand not in self._cand:
-            self._cand[on_hand] = comparable.comparable_candidates(
-                self.hist_ty, self.hist_ly, on_hand).persist(StorageLevel.MEMORY_AND_DISK)
+            self._cand[on_hand] = self.sides.keep(comparable.comparable_candidates(
+                self.hist_ty, self.hist_ly, on_hand))
         return self._cand[on_hand]
 
     def comparable(self, band: tuple[float, float], on_hand: str = "as_written") -> DataFrame:
@@ -157,7 +186,7 @@ class ForecastValidation:
 
     @cached_property
     def comparable_keys(self) -> DataFrame:
-        return key_set(self.comparable_skus, brand_sku_key("l0_name", "sku"), self.sizing)
+        return self._fact_sides["comparable_skus"].keys(brand_sku_key("l0_name", "sku")).frame
 
     # ---- forecast side -------------------------------------------------------
     @cached_property
@@ -202,14 +231,15 @@ class ForecastValidation:
 
     @cached_property
     def arrivals(self) -> DataFrame:
-        return supply.open_by_arrival(self.chain, self.t.fiscal_calendar, self.p.as_of,
-                                      self.sizing)
+        return supply.open_by_arrival(self.chain, self.t.fiscal_calendar, self.p.as_of)
 
     @cached_property
     def on_order(self) -> DataFrame:
-        week = self.p.on_order_week
-        chain = supply.arriving_in_week(self.chain, self.t.fiscal_calendar, week)
-        arrivals = supply.open_by_arrival(chain, self.t.fiscal_calendar, self.p.as_of, self.sizing)
+        week, calendar = self.p.on_order_week, self.t.fiscal_calendar
+        chain = supply.po_status(self.t.purchase_order, self.t.packing_list,
+                                 self.t.warehouse_receipt, self.p.as_of, self.p.po_brands,
+                                 self.p.default_brand, supply.week_span(calendar, week))
+        arrivals = supply.open_by_arrival(chain, calendar, self.p.as_of)
         return supply.on_order_units(arrivals, self.p.order_channel, week)
 
     @cached_property

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from forecheck.operators import plan
-from forecheck.operators.relational import small_side
+from forecheck.operators.relational import Sides
 from forecheck.config import Sizing
 
 
@@ -53,32 +53,54 @@ def test_rollup_counts_match_final_rows(small_report):
     assert rolled == joined
 
 
-def test_small_side_falls_back_to_shuffle_join(spark):
+def _joined(spark, side, sizing):
+    sides = Sides(sizing)
     big = spark.range(1000).withColumnRenamed("id", "k")
-    side = spark.range(50).withColumnRenamed("id", "k")
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        hinted = big.join(small_side(side, Sizing(broadcast_max_rows=100)), "k")
-        unhinted = big.join(small_side(side, Sizing(broadcast_max_rows=10)), "k")
-        assert hinted.count() == unhinted.count() == 50
-        assert "BroadcastHashJoin" in hinted._jdf.queryExecution().sparkPlan().toString()
-        assert "BroadcastHashJoin" not in unhinted._jdf.queryExecution().sparkPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-
+    joined = big.join(sides.check(side).frame, "k")
+    return joined, "BroadcastHashJoin" in joined._jdf.queryExecution().sparkPlan().toString(), sides
 
-def test_small_side_checks_bytes_too(spark):
-    from forecheck.operators.relational import row_width
 
+def test_side_above_a_bound_is_released_and_shuffled(spark):
     side = spark.range(50).selectExpr("id AS k", "cast(id AS string) AS s")
-    assert row_width(side) == 16 + 8 + 48
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        tight = Sizing(broadcast_max_rows=100, broadcast_max_bytes=50 * 72 - 1)
-        joined = spark.range(10).withColumnRenamed("id", "k").join(small_side(side, tight), "k")
-        assert "BroadcastHashJoin" not in joined._jdf.queryExecution().sparkPlan().toString()
-        assert joined.count() == 10
+        for sizing, fits in ((Sizing(100, 1 << 20), True), (Sizing(10, 1 << 20), False),
+                             (Sizing(100, 100), False)):
+            joined, hinted, sides = _joined(spark, side, sizing)
+            assert joined.count() == 50 and hinted == fits and len(sides.kept) == fits
+            sides.close()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_flagship_builds_in_fewer_jobs_and_releases_what_it_kept(spark):
+    from conftest import SF_SMALL
+    from forecheck.plans.registry import report
+
+    sc = spark.sparkContext
+    spark.catalog.clearCache()
+    before = len(sc._jsc.getPersistentRDDs())
+    started = sc._jsc.sc().dagScheduler().numTotalJobs()
+    r = report(spark, SF_SMALL)
+    rolled = r.rollup()
+    jobs = sc._jsc.sc().dagScheduler().numTotalJobs() - started
+    assert rolled.count() == 12
+    r.close()
+    assert len(sc._jsc.getPersistentRDDs()) <= before
+    # each adaptive stage of a measured side is a job; the sides run at the same time
+    assert jobs <= 32
+
+
+def test_results_do_not_depend_on_broadcast(spark, small_report):
+    from conftest import SF_SMALL
+    from forecheck.plans.report import ForecastValidation
+    from forecheck.sources import fixtures
+    from forecheck.sources.tables import Tables
+
+    none = ForecastValidation(Tables.from_driver_tables(spark, SF_SMALL), fixtures.PARAMS, Sizing(0, 0))
+    for name in ("validation", "forecast", "actual_units", "on_order", "aligned"):
+        a, b = getattr(none, name), getattr(small_report, name)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+    assert none.rollup().exceptAll(small_report.rollup()).count() == 0
+    none.close()

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from forecheck.operators import comparable, explain, forecast, plan, supply
-from forecheck.operators.relational import flag_in, not_in
+from forecheck.operators.relational import flag_in, not_in_flag
 
 
 def test_q1_window_frame_as_written_vs_latest(spark):
@@ -16,8 +16,9 @@ def test_q1_window_frame_as_written_vs_latest(spark):
         "qty double, oh double, msrp double")
     ty = comparable.weekly_history(hist, 1999, "qty_ty")
     ly = comparable.weekly_history(hist, 1998, "qty_ly")
-    as_written = comparable.comparable_products(ty, ly, (0.5, 1.5), on_hand="as_written")
-    latest = comparable.comparable_products(ty, ly, (0.5, 1.5), on_hand="latest")
+    pick = lambda on_hand: comparable.comparable_filter(
+        comparable.comparable_candidates(ty, ly, on_hand), (0.5, 1.5), 0.3, 100.0)
+    as_written, latest = pick("as_written"), pick("latest")
     assert [r[0] for r in as_written.collect()] == ["p"]
     assert latest.count() == 0
     lv = {r.fiscal_year_week: r.most_recent_oh
@@ -45,12 +46,16 @@ def test_q5_on_order_join_as_written(spark):
 
 def test_q7_not_in_with_null_keeps_nothing(spark):
     df = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
-    with_null = spark.createDataFrame([("a",), (None,)], "k string")
-    assert not_in(df, F.col("k"), with_null).count() == 0
-    plain = spark.createDataFrame([("a",)], "k string")
-    assert [r.k for r in not_in(df, F.col("k"), plain).collect()] == ["b"]
-    empty = spark.createDataFrame([], "k string")
-    assert not_in(df, F.col("k"), empty).count() == 3
+
+    def kept(keys):
+        found = keys.where("k is not null").select("k", F.lit(True).alias("hit"))
+        flagged = df.join(found, "k", "left")
+        hit = F.coalesce("hit", F.lit(False))
+        return [r.k for r in flagged.where(not_in_flag(F.col("k"), hit, keys)).collect()]
+
+    assert kept(spark.createDataFrame([("a",), (None,)], "k string")) == []
+    assert kept(spark.createDataFrame([("a",)], "k string")) == ["b"]
+    assert len(kept(spark.createDataFrame([], "k string"))) == 3
 
 
 def test_q6_concatenated_key_collision(spark):
@@ -127,3 +132,61 @@ def test_default_branch_needs_never_validated_code(spark):
     out = forecast.select_forecast(cand, disc, codes, comp, 0.05)
     got = sorted((r.hierarchy_code, r.percent_off, r.w_sls_u, r.comp_flag) for r in out.collect())
     assert got == [("HC1", 0.03, 4.0, 1), ("HC2", 0.05, 2.0, 1)]
+
+
+def _orders(spark, lines, shipped, received):
+    day = dt.date.fromisoformat
+    po = spark.createDataFrame(
+        [(n, s, "B0", day("2001-05-01"), 10.0, "Online", eta) for n, s, eta in lines],
+        "po_number string, sku string, l0_name string, po_date date, ordered_quantity double, "
+        "channel string, intial_eta date")
+    packing = spark.createDataFrame(
+        [(n, s, "c", 1, day("2001-06-01"), q) for n, s, q in shipped],
+        "po_number string, sku string, container_number string, "
+        "inventory_packing_list_summary_id int, date_shipped date, quantity_shipped double")
+    receipt = spark.createDataFrame(
+        [(n, s, "c", 1, day("2001-06-20")) for n, s in received],
+        "po_number string, product_code string, container_number string, "
+        "inventory_packing_list_summary_id int, date_received date")
+    return po, packing, receipt
+
+
+def test_overdue_line_arrives_tomorrow_within_the_week(spark):
+    """As of a Friday, tomorrow opens the on-order week: an overdue line counts there."""
+    day = dt.date.fromisoformat
+    friday = day("2001-06-29")
+    frames = _orders(spark, [("1", "s", day("2001-01-05")), ("2", "s", day("2001-07-02")),
+                             ("3", "s", day("2001-01-05")), ("4", "s", day("2001-08-20"))],
+                     [("3", "s", 4.0), ("2", "s", 7.0)], [("3", "s")])
+    calendar = spark.createDataFrame(
+        [(d, 200127 if day("2001-06-30") <= d <= day("2001-07-06") else 200100)
+         for d in (day("2001-01-01") + dt.timedelta(k) for k in range(300))],
+        "date date, fy_week_id bigint")
+    span = supply.week_span(calendar, 200127)
+    cut = supply.po_status(*frames, friday, ("B0",), "B0", span)
+    whole = supply.po_status(*frames, friday, ("B0",), "B0")
+    units = lambda c: [tuple(r) for r in supply.on_order_units(
+        supply.open_by_arrival(c, calendar, friday), "Online", 200127).collect()]
+    # line 1 is overdue and open (10), line 2 is on its way (7), line 3 was received
+    assert units(cut) == units(whole) == [("B0", "s", "Online", 17.0)]
+
+
+def test_eta_bound_is_below_the_first_exchange(spark):
+    day = dt.date.fromisoformat
+    frames = _orders(spark, [("1", "s", day("2001-01-05"))], [], [])
+    span = (F.lit(day("2001-06-30")), F.lit(day("2001-07-06")))
+    plan_ = supply.po_status(*frames, day("2001-06-29"), ("B0",), "B0", span)
+    text = plan_._jdf.queryExecution().optimizedPlan().toString()
+    lines_ = text.splitlines()
+    # the deepest operators that mention the ETA sit on the purchase orders, under their DISTINCT
+    scans = [k for k, t in enumerate(lines_) if "LogicalRDD" in t and "intial_eta" in t]
+    assert scans and all("intial_eta" in lines_[k - 1] and "Filter" in lines_[k - 1] for k in scans[:1])
+
+
+def test_one_hot_order_line_keeps_all_pairs(spark):
+    day = dt.date.fromisoformat
+    lines = [("hot", "s", day("2001-07-02"))] + [(str(k), "s", day("2001-07-02")) for k in range(20)]
+    shipped = [("hot", "s", float(q)) for q in range(500)]
+    chain = supply.po_status(*_orders(spark, lines, shipped, []), day("2001-06-29"), ("B0",), "B0")
+    # 500 different shipments of the hot line, the other lines collapse to one
+    assert chain.count() == 501
