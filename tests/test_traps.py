@@ -112,7 +112,9 @@ def test_q20_missing_bridge_gives_null_path_and_zero_flags(spark):
     fc = spark.createDataFrame([], "product_code string, fiscal_year bigint, fiscal_week bigint, "
                                    "fiscal_year_week bigint, scenario1 double, qty double")
     codes = spark.createDataFrame([("x",)], "product_code string")
-    out = plan.validation_flags(aligned, fc, codes, codes, codes, codes, 200043).first()
+    assert aligned.first().product_code is None
+    out = plan.validation_flags(base, bridge, wp, ly, lly, fc, codes, codes, codes, codes,
+                                "Online", 200043).first()
     assert out.product_code is None and out.l0_name is None
     assert (out.comp_flag_30, out.comp_flag_50, out.product_with_sales, out.new_prod_flag) == (0, 0, 0, 0)
 
