@@ -15,6 +15,10 @@ from forecheck.llm import bpe_replay, decontamination, jaccard_join, prefix_free
 from forecheck.llm.common import ship, stored, table
 
 
+# a column that a stage adds and drops again
+FIGURES = "__stage_figures"
+
+
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored as toxic go."""
     ship(spark)
@@ -32,16 +36,16 @@ def suffix_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Bytes of repeated 100-byte strings go, but for their first occurrence; a
     document of which nothing is left goes as well."""
     ship(spark)
-    done = prefix_free_dedup.dedup(docs)
-    whole = (F.col("text") != "") | (F.col("dedup.n_bytes") == 0)
+    done = prefix_free_dedup.dedup(docs, out=FIGURES)
+    whole = (F.col("text") != "") | (F.col(f"{FIGURES}.n_bytes") == 0)
     return done.where(whole).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents contaminated with benchmark passages go."""
     ship(spark)
-    judged = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"), carry=True)
-    return judged.where(~F.col("judged.contaminated")).select(docs.columns)
+    judged = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"), carry=FIGURES)
+    return judged.where(~F.col(f"{FIGURES}.contaminated")).select(docs.columns)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

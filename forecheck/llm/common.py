@@ -84,7 +84,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def slices(offsets: np.ndarray, limit: int = 2 << 20) -> Iterator[tuple[int, int]]:
+def slices(offsets: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of rows of about ``limit`` bytes (one row at least), to keep the
     numpy temporaries of a batch small whatever the batch holds."""
     lo, n = 0, len(offsets) - 1
@@ -95,13 +95,20 @@ def slices(offsets: np.ndarray, limit: int = 2 << 20) -> Iterator[tuple[int, int
         lo = hi
 
 
-def sliced(column: pa.Array, limit: int = 2 << 20):
+def sliced(column: pa.Array, limit: int = 1 << 20):
     """(lo, hi, bytes, offsets) of each slice of a string column."""
     data, offsets = utf8(column)
     for lo, hi in slices(offsets, limit):
         yield lo, hi, data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
 
 
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``rows`` rows, where rows become Python objects."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Finalizer that spreads every bit of a 64-bit value (splitmix64)."""
     h = h.astype(np.uint64, copy=True)
@@ -114,32 +121,29 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 class RangeHash:
-    """64-bit polynomial hashes of byte ranges of one buffer, from prefix sums."""
+    """64-bit polynomial hashes of byte ranges of one buffer, from prefix sums.
+
+    ``seed`` picks the value of each byte; the powers are shared by all seeds.
+    """
 
-    _tables: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+    _base = _GOLD * 5 & _MASK | 5
+    _power = _inverse = np.zeros(0, np.uint64)
 
     def __init__(self, data: np.ndarray, seed: int = 0):
-        base = (_GOLD * (2 * seed + 1) * 5 + 2 * seed) & _MASK | 5
-        lut, power, inverse = self._powers(seed, base, len(data) + 1)
-        terms = lut[data]
-        terms *= power[:len(data)]
+        if len(self._power) <= len(data):
+            size = max(len(data) + 1, 1 << 20)
+            power = np.full(size, self._base, np.uint64)
+            inverse = np.full(size, pow(self._base, -1, 1 << 64), np.uint64)
+            power[0] = inverse[0] = 1
+            RangeHash._power, RangeHash._inverse = np.cumprod(power), np.cumprod(inverse)
+        value = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_GOLD) + np.uint64(seed))
+        terms = value[data]
+        terms *= self._power[:len(data)]
         self.sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(terms, out=self.sums[1:])
-        self.inverse = inverse
-
-    @classmethod
-    def _powers(cls, seed: int, base: int, n: int):
-        if seed not in cls._tables or len(cls._tables[seed][1]) < n:
-            size = max(n, 1 << 21)
-            lut = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_GOLD) + np.uint64(seed))
-            steps = np.full(size, base, np.uint64)
-            back = np.full(size, pow(base, -1, 1 << 64), np.uint64)
-            steps[0] = back[0] = 1
-            cls._tables[seed] = lut, np.cumprod(steps), np.cumprod(back)
-        return cls._tables[seed]
 
     def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((self.sums[end] - self.sums[start]) * self.inverse[start])
+        return mix((self.sums[end] - self.sums[start]) * self._inverse[start])
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE):

@@ -134,7 +134,7 @@ def proximity_matches(docs: DataFrame, benchmark: DataFrame, slop: int = 5,
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                   text_col: str = "text", item_col: str = "item_id",
-                  item_text_col: str = "text", carry: bool = False) -> DataFrame:
+                  item_text_col: str = "text", carry: str | None = None) -> DataFrame:
     """One row per input row: id, ``n_words``, ``n_hit`` (words inside an
     occurrence of a test window), ``items`` (sorted item ids with occurring
     windows) and ``contaminated`` (``n_hit`` > 0 and at least a twentieth of the
@@ -144,7 +144,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     are left out; repeated rows and ids are judged each on its own text; NULL ids
     work as any other. Empty documents give no rows, an empty benchmark leaves
     every document clean. Other columns are not read, or with ``carry`` all are
-    returned, followed by the figures as one struct column ``judged``.
+    returned, followed by the figures as one struct column of that name.
     """
     items = test_items(benchmark, item_col, item_text_col)
     index = build_index(docs, items, id_col, text_col)
@@ -186,7 +186,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     if not carry:
         return judged.select(own, *figures)
     columns = [own if c == id_col else F.col(f"row.c{others.index(c)}").alias(c) for c in docs.columns]
-    return judged.select(*columns, F.struct(*figures).alias("judged"))
+    return judged.select(*columns, F.struct(*figures).alias(carry))
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -38,14 +38,14 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecheck.llm.common import RangeHash, mix, sliced, stored, table
+from forecheck.llm.common import RangeHash, mix, pieces, sliced, stored, table
 
 LENGTH = 100            # bytes of the strings compared
 GRAM = 24               # bytes of the rolling hash
 REACH = LENGTH - GRAM + 1       # trigger positions inside a string
 CELLS = 1 << 20         # hash cells of the count of frequent grams
 FREQUENT = 1 << 15      # a cell is frequent from this share of all positions on (1 / FREQUENT)
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 _PHRASES = ["gram", "phrase", "id", "tag", "trigger", "left", "more"]
 _TYPES = [np.uint64, np.uint64, np.int64, np.int64, np.uint32, np.uint8, np.uint8]
@@ -99,11 +99,15 @@ def phrases(data: np.ndarray, offsets: np.ndarray, frequent: np.ndarray):
     return row[first], at[first], at[last], trigger[first], grams
 
 
+def _lowest():
+    """The id that NULL stands for."""
+    return F.lit(str(-2**63)).cast("long")
+
+
 def _tagged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, tag, text): rows of one id are told apart by a hash of their text."""
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
-    low = F.lit(-2**63)
-    return docs.select(F.coalesce(docs[id_col].cast("long"), low).alias("id"),
+    return docs.select(F.coalesce(docs[id_col].cast("long"), _lowest()).alias("id"),
                        F.xxhash64(text).alias("tag"), text.alias("text"))
 
 
@@ -212,7 +216,7 @@ def _marks(packed: DataFrame, buckets: int) -> DataFrame:
 def _zipped(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1).compress
-        for batch in batches:
+        for batch in pieces(batches):
             zipped = [pack(t.encode()) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(n) for n in batch.schema.names if n != "text"),
@@ -231,7 +235,7 @@ def _open_contexts(texts: DataFrame, marks: DataFrame, buckets: int) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
-        for batch in batches:
+        for batch in pieces(batches):
             rows, where = [], []
             for doc, tag, zipped, spans in zip(*(batch.column(n).to_pylist() for n in
                                                  ("id", "tag", "zipped", "spans"))):
@@ -336,10 +340,11 @@ def removed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return marks.where("not open").select("id", "tag", "begin", "end").unionByName(rest)
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          out: str = "dedup") -> DataFrame:
     """One row per input row: all its columns, with ``text_col`` replaced by what
     is left, and ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs) and
-    ``kept_sha256`` (of the remaining bytes) as one struct column ``dedup``.
+    ``kept_sha256`` (of the remaining bytes) as one struct column ``out``.
 
     The text that is left drops the remains of a character that a span has cut;
     ``kept_sha256`` is of the exact bytes. NULL text counts as empty (and stays
@@ -352,7 +357,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
              .agg(F.collect_list(F.struct("begin", "end")).alias("spans")))
     others = [c for c in docs.columns if c not in (text_col,)]
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
-    base = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(-2**63)).alias("id"),
+    base = docs.select(F.coalesce(docs[id_col].cast("long"), _lowest()).alias("id"),
                        F.xxhash64(text).alias("tag"), text.alias("text"),
                        F.struct(*(docs[c].alias(f"c{k}") for k, c in enumerate(others))).alias("rest"))
     joined = _zipped(base).join(spans, ["id", "tag"], "left").withColumn("copy", F.row_number().over(
@@ -360,26 +365,26 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
-        for batch in batches:
+        for batch in pieces(batches):
             out = []
             for zipped, found, copy in zip(*(batch.column(n).to_pylist()
                                              for n in ("zipped", "spans", "copy"))):
                 raw = unpack(zipped)
-                pieces, at, runs, removed = [], 0, 0, 0
+                parts, at, runs, removed = [], 0, 0, 0
                 if copy > 1 and len(raw) >= LENGTH:
                     found = [{"begin": 0, "end": len(raw)}]
                 for b, e in sorted((s["begin"], s["end"]) for s in found or ()):
                     if b > at or not runs:
-                        pieces.append(raw[at:b])
+                        parts.append(raw[at:b])
                         runs += 1
                         removed += e - b
                         at = e
                     elif e > at:
                         removed += e - at
                         at = e
-                pieces.append(raw[at:])
-                kept = b"".join(pieces)
-                whole = "".join(p.decode(errors="ignore") for p in pieces)
+                parts.append(raw[at:])
+                kept = b"".join(parts)
+                whole = "".join(p.decode(errors="ignore") for p in parts)
                 out.append((whole, len(raw), removed, runs, hashlib.sha256(kept).hexdigest()))
             types = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string())
             columns = [pa.array(c, t) for c, t in zip(zip(*out), types)] if out else [
@@ -390,7 +395,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     rest_type = base.schema["rest"].dataType.simpleString()
     done = joined.mapInArrow(run, f"rest {rest_type}, text string, n_bytes long, n_removed long, "
                                   "n_spans long, kept_sha256 string")
-    figures = F.struct("n_bytes", "n_removed", "n_spans", "kept_sha256").alias("dedup")
+    figures = F.struct("n_bytes", "n_removed", "n_spans", "kept_sha256").alias(out)
     return done.select(*(F.col("text").alias(c) if c == text_col else
                          F.col(f"rest.c{others.index(c)}").alias(c) for c in docs.columns), figures)
 
