@@ -15,7 +15,7 @@ asked again, so every word sees exactly the greedy lowest-rank-first order.
 Words are told apart by a 64-bit hash of their bytes; every text is decoded from
 its ids and compared with its source, so a collision could not pass unseen.
 
-One pass over the rows, no shuffle. A slice is 16 MB of text; the store of
+One pass over the rows, no shuffle. A slice is 4 MB of text; the store of
 encoded words is emptied when it passes ``STORE_WORDS`` words (it saves work
 only, results do not depend on it), so memory stays bounded.
 """
@@ -35,8 +35,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from forecheck.llm.common import RangeHash, slices, table, utf8
 
-STORE_WORDS = 2_000_000
-SLICE_BYTES = 16 << 20
+STORE_WORDS = 500_000
+SLICE_BYTES = 4 << 20
 _NONE = np.int32(2**31 - 1)
 
 

@@ -24,12 +24,21 @@ _GOLD = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
 
+# rows of an Arrow batch: texts are long, and a batch is held by both the JVM and
+# the Python worker
+BATCH_ROWS = 1000
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package's code to the Python workers, once per Spark context.
+    """Prepare a session: small Arrow batches, and this package's code sent to the
+    Python workers, once per Spark context.
 
-    Needed where it is not installed on the executors; Spark's own file server
-    distributes it (code only, some 100 kB).
+    The code is needed where it is not installed on the executors; Spark's own
+    file server distributes it (some 100 kB).
     """
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
     sc = spark.sparkContext
     if getattr(sc, "_forecheck_shipped", False):
         return
