@@ -1,17 +1,22 @@
 """License scan: winnowed fingerprints find candidates, banded alignment decides.
 
-Templates (a few hundred words in all) and texts are folded to words. Hashes of
+Templates (whole licences, headers and notices, 32,000 words in all) and texts
+are folded to words. Hashes of
 three consecutive words are winnowed: of every two neighbours the smaller hash
 stays (the later one on ties), so any run of four common words shares a
 fingerprint. Fingerprints of the templates form an inverted index (hash ->
 template, place), sent to every task. A hit of a text's fingerprint gives a
 diagonal; hits of one template on near diagonals are one candidate, whose words
 are aligned with the template inside a band around the diagonal (match 2, other
-word or gap -1, local). A match reports the share of template words found and
-its span in the text.
+word or gap -1, local). A match is taken only if the phrases that tell its licence
+from others (name, variant, version) stand in its span word by word; of matches
+that overlap the best score stays. It reports the share of template words found
+and its span in the text.
 
 One pass over the rows; no shuffle. Work follows the text, candidates included:
-every hit is aligned, none is capped.
+every hit is aligned, none is capped. A candidate is passed over only if too few
+template words have an equal text word anywhere in the band, as no alignment in
+it could then reach the coverage.
 """
 
 from __future__ import annotations
@@ -23,10 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from forecheck.llm.common import RangeHash, mix, sliced, table, word_spans
-from forecheck.llm.license_templates import TEMPLATES
+from forecheck.llm.license_templates import DISTINCT, TEMPLATES, TITLES
 
 GRAM = 3                # words of a fingerprint; of two neighbours one stays
 BAND = 6                # words an alignment may drift from its diagonal
+DRIFT = 200             # one more for so many words of the template
 MIN_COVERAGE = 0.8      # share of template words that must be found
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -47,6 +53,26 @@ def _words(data: np.ndarray, offsets: np.ndarray):
     return starts, ends, rows, RangeHash(folded, seed=9)(starts, ends)
 
 
+def _versioned(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Whether each word is a number that goes on in the next one, as 2 in 2.1
+    (2.0 is 2)."""
+    digit = (data >= ord("0")) & (data <= ord("9"))
+    on = np.zeros(len(starts), bool)
+    gap = ends[:-1]
+    on[:-1] = ((starts[1:] == gap + 1) & (data[gap] == ord(".")) & digit[gap - 1]
+               & digit[starts[1:]] & (data[starts[1:]] != ord("0")))
+    return on
+
+
+def _runs(words: np.ndarray, phrase: np.ndarray) -> np.ndarray:
+    """Places of ``words`` where ``phrase`` begins."""
+    n = len(words) - len(phrase) + 1
+    hit = np.ones(max(n, 0), bool)
+    for k, word in enumerate(phrase if n > 0 else ()):
+        hit &= words[k:n + k] == word
+    return np.flatnonzero(hit)
+
+
 def fingerprints(words: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(place of the first word, hash) of the winnowed grams; grams and windows
     do not cross rows. A row with fewer grams than a window keeps its least."""
@@ -71,9 +97,11 @@ def fingerprints(words: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 class Index:
-    """Templates with their words and the inverted index of their fingerprints."""
+    """Templates with their words, the inverted index of their fingerprints and
+    their distinguishing phrases (words, template places they concern)."""
 
-    def __init__(self, templates: dict[str, str]):
+    def __init__(self, templates: dict[str, str], distinct: dict[str, tuple[str, ...]] | None = None,
+                 titles: dict[str, str] | None = None):
         self.names = sorted(templates)
         raw = [templates[n].encode() for n in self.names]
         data = np.frombuffer(b"".join(raw), np.uint8)
@@ -86,26 +114,39 @@ class Index:
         self.hashes = value[order]
         self.template = rows[at][order]
         self.place = (at - firsts[rows[at]])[order]
+        self.sizes = np.array([len(w) for w in self.words], np.int64)
+        self.phrases: list[list[tuple[np.ndarray, int, int]]] = [[] for _ in self.names]
+        for k, name in enumerate(self.names):
+            own = [(p, False) for p in (distinct or {}).get(name, ())]
+            own += [(titles[name], True)] if name in (titles or {}) else []
+            for phrase, title in own:
+                part = np.frombuffer(phrase.encode(), np.uint8)
+                part = _words(part, np.array([0, len(part)]))[3]
+                at = int(_runs(self.words[k], part)[0]) if title else 0
+                end = at + len(part) if title else len(self.words[k])
+                self.phrases[k].append((part, at, end))
 
 
 def align(template: np.ndarray, text: np.ndarray, diagonal: int, band: int = BAND):
     """Best local alignment inside the band: (score, matched template words,
-    first and last text word), or None. ``diagonal`` is text place minus template
-    place; of equal scores the earliest end wins."""
+    first and last text word, first and last template word), or None. ``diagonal``
+    is text place minus template place; of equal scores the earliest end wins."""
     lo = max(0, diagonal - band)
+    part = text[lo:max(lo, diagonal + band + len(template))].tolist()
     above: dict[int, tuple] = {}
     best = None
     for i, word in enumerate(template.tolist()):
         row: dict[int, tuple] = {}
         left = None
-        for j in range(max(lo, i + diagonal - band), min(len(text), i + diagonal + band + 1)):
-            same = bool(text[j] == word)
+        for j in range(max(lo, i + diagonal - band), min(lo + len(part), i + diagonal + band + 1)):
+            same = part[j - lo] == word
             before = above.get(j - 1)
             cell = None
             if before is not None and before[0] > 0:
-                cell = (before[0] + (2 if same else -1), before[1] + same, before[2], j if same else before[3])
+                cell = ((before[0] + 2, before[1] + 1, before[2], j, before[4], i) if same
+                        else (before[0] - 1, *before[1:]))
             elif same:
-                cell = (2, 1, j, j)
+                cell = (2, 1, j, j, i, i)
             for other in (above.get(j), left):
                 if other is not None and (cell is None or other[0] - 1 > cell[0]):
                     cell = (other[0] - 1, *other[1:])
@@ -118,26 +159,54 @@ def align(template: np.ndarray, text: np.ndarray, diagonal: int, band: int = BAN
     return best
 
 
-def _matches(index: Index, words: np.ndarray, hits: list[tuple[int, int, int]],
-             min_coverage: float) -> list[tuple]:
+def _in_band(template: np.ndarray, text: np.ndarray, diagonal: int, band: int) -> int:
+    """Template words that have an equal text word in the band."""
+    near = np.zeros(len(template) + 2 * band, np.uint64)
+    at = diagonal - band
+    a, b = max(at, 0), min(at + len(near), len(text))
+    if a >= b:
+        return 0
+    near[a - at:b - at] = text[a:b]
+    found = np.zeros(len(template), bool)
+    for k in range(2 * band + 1):
+        found |= near[k:k + len(template)] == template
+    return int(found.sum())
+
+
+def _told_apart(index: Index, template: int, words: np.ndarray, versioned: np.ndarray, got: tuple) -> bool:
+    """Whether the phrases of the template stand in the span of a match."""
+    for phrase, at, end in index.phrases[template]:
+        if got[4] < end and at <= got[5]:
+            places = got[2] + _runs(words[got[2]:got[3] + 1], phrase)
+            if not (~versioned[places + len(phrase) - 1]).any():
+                return False
+    return True
+
+
+def _matches(index: Index, words: np.ndarray, versioned: np.ndarray,
+             hits: list[tuple[int, int, int]], min_coverage: float) -> list[tuple]:
     """Matches of one text; ``hits`` are (template, diagonal, text place)."""
     found = []
     hits.sort()
     k = 0
     while k < len(hits):
         template, first = hits[k][:2]
+        own = index.words[template]
+        reach = BAND + len(own) // DRIFT
         end = k
-        while end + 1 < len(hits) and hits[end + 1][0] == template and hits[end + 1][1] - first <= BAND:
+        while end + 1 < len(hits) and hits[end + 1][0] == template and hits[end + 1][1] - first <= reach:
             end += 1
         diagonal = (first + hits[end][1]) // 2
-        own = index.words[template]
-        got = align(own, words, diagonal, BAND + (hits[end][1] - first + 1) // 2)
-        if got is not None and got[1] >= min_coverage * len(own):
-            found.append((index.names[template], got[1] / len(own), got[1], got[2], got[3]))
+        band = reach + (hits[end][1] - first + 1) // 2
+        if _in_band(own, words, diagonal, band) >= min_coverage * len(own):
+            got = align(own, words, diagonal, band)
+            if (got is not None and got[1] >= min_coverage * len(own)
+                    and _told_apart(index, template, words, versioned, got)):
+                found.append((index.names[template], got[1] / len(own), got[1], got[2], got[3], got[0]))
         k = end + 1
-    # where matches overlap, the one with the most matched words stays
+    # where matches overlap, the one with the best score stays
     out: list[tuple] = []
-    for m in sorted(found, key=lambda m: (-m[2], -m[1], m[3], m[0])):
+    for m in sorted(found, key=lambda m: (-m[5], -m[1], m[3], m[0])):
         if not any(o[3] <= m[4] and m[3] <= o[4] for o in out):
             out.append(m)
     return sorted(out, key=lambda m: m[3])
@@ -151,14 +220,15 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str =
 
     NULL or empty texts have no matches; repeated rows get a result each; an
     empty table gives none; other columns are not read. A template of fewer
-    than three words has no fingerprint and is never found.
+    than three words has no fingerprint and is never found. ``templates`` of one's
+    own have no distinguishing phrases.
     """
-    templates = TEMPLATES if templates is None else templates
+    known = (TEMPLATES, DISTINCT, TITLES) if templates is None else (templates, {}, {})
     picked = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
     id_type = picked.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(templates)
+        index = Index(*known)
         for batch in batches:
             found: list[list[dict]] = [[] for _ in range(batch.num_rows)]
             for lo, _, data, offsets in sliced(batch.column(1)):
@@ -171,14 +241,19 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str =
                 which = np.repeat(np.arange(len(at)), n)
                 entry = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + a[which]
                 firsts = np.searchsorted(rows, np.arange(len(offsets)))
+                # a text too short for the coverage of a template cannot match it
+                size = np.diff(firsts)[rows[at[which]]]
+                long = size >= min_coverage * index.sizes[index.template[entry]]
+                which, entry = which[long], entry[long]
                 place = at[which] - firsts[rows[at[which]]]
+                versioned = _versioned(data, starts, ends)
                 hits: dict[int, list] = {}
                 for row, t, p, q in zip(rows[at[which]].tolist(), index.template[entry].tolist(),
                                         place.tolist(), index.place[entry].tolist()):
                     hits.setdefault(row, []).append((t, p - q, p))
                 for row, own in hits.items():
                     b, e = firsts[row], firsts[row + 1]
-                    for m in _matches(index, words[b:e], own, min_coverage):
+                    for m in _matches(index, words[b:e], versioned[b:e], own, min_coverage):
                         found[lo + row].append({
                             "license": m[0], "coverage": m[1], "matched": m[2], "first_word": m[3],
                             "last_word": m[4], "begin": int(starts[b + m[3]] - offsets[row]),

@@ -180,6 +180,43 @@ def test_license_scan_against_full_alignment(spark, odd_docs, no_docs):
     assert license_scan.scan(plain).first().licenses == "Apache-2.0-notice"
 
 
+LIKE_LICENSES = [
+    ("Licensed under CC BY-ND 4.0.", "CC-BY-ND-4.0-notice"),
+    ("Licensed under CC BY 3.0.", "CC-BY-3.0-notice"),
+    ("Licensed under CC BY-NC-SA 2.5.", "CC-BY-NC-SA-2.5-notice"),
+    ("Licensed under CC BY 4.0.", "CC-BY-4.0-notice"),
+    ("Licensed under CC BY 7.0.", ""),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivs 3.0 Unported License.",
+     "CC-BY-NC-ND-3.0-long-notice"),
+    ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0-notice"),
+    ("This work is licensed under the GNU General Public License, version 3.0.", "GPL-3.0-notice"),
+    ("This work is licensed under the GNU Lesser General Public License, version 2.1.", "LGPL-2.1-notice"),
+    ("This work is licensed under the GNU General Public License, version 2.1.", ""),
+    ("Licensed under the Apache License, Version 1.1.", "Apache-1.1-notice"),
+    ("Released under the BSD License.", "BSD-notice"),
+    ("Released under the Foo License.", ""),
+    ("Released under the MIT License.", "MIT-notice"),
+]
+
+
+def test_licenses_are_told_apart(spark):
+    from forecheck.llm.license_templates import DISTINCT, TEMPLATES, TITLES
+
+    header, whole = TEMPLATES["GPL-3.0"], TEMPLATES["GPL-3.0-text"].split("How to Apply")[0]
+    cases = LIKE_LICENSES + [(TEMPLATES[n], n) for n in sorted(TEMPLATES)]
+    cases += [(header.replace("version 3", "version 4"), ""),
+              (header.replace("GNU General", "GNU Other General"), ""),
+              (whole.replace("GNU GENERAL PUBLIC", "GNU AFFERO GENERAL PUBLIC", 1), ""),
+              (whole.split("Preamble", 1)[1], "GPL-3.0-text")]
+    docs = spark.createDataFrame([(k, f"before it {t} after it") for k, (t, _) in enumerate(cases)],
+                                 "doc_id int, text string")
+    got = {r.doc_id: r.licenses for r in license_scan.scan(docs).collect()}
+    assert [(c[0][:90], got[k]) for k, c in enumerate(cases)] == [(t[:90], n) for t, n in cases]
+    for name, phrases in [*DISTINCT.items(), *((n, (t,)) for n, t in TITLES.items())]:
+        for phrase in phrases:
+            assert f" {' '.join(_fold(phrase))} " in f" {' '.join(_fold(TEMPLATES[name]))} "
+
+
 # --- toxicity --------------------------------------------------------------
 
 def _labelled(n, seed):
