@@ -6,12 +6,13 @@ three consecutive words are winnowed: of every two neighbours the smaller hash
 stays (the later one on ties), so any run of four common words shares a
 fingerprint. Fingerprints of the templates form an inverted index (hash ->
 template, place), sent to every task. A hit of a text's fingerprint gives a
-diagonal; hits of one template on near diagonals are one candidate, whose words
-are aligned with the template inside a band around the diagonal (match 2, other
-word or gap -1, local). A match is taken only if the phrases that tell its licence
-from others (name, variant, version) stand in its span word by word; of matches
-that overlap the best score stays. It reports the share of template words found
-and its span in the text.
+diagonal; hits of one template on near diagonals and at near places are one
+candidate, whose words are aligned with the template inside a band around the
+diagonal (match 2, other word or gap -1, local). The text before and after is
+aligned again, until no hit is left. A match is taken only if the phrases that tell
+its licence from others (name, variant, version) stand in its span word by word; of
+matches that overlap the best score stays. It reports the share of template words
+found and its span in the text.
 
 One pass over the rows; no shuffle. Work follows the text, candidates included:
 every hit is aligned, none is capped. A candidate is passed over only if too few
@@ -21,7 +22,9 @@ it could then reach the coverage.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -183,33 +186,57 @@ def _told_apart(index: Index, template: int, words: np.ndarray, versioned: np.nd
     return True
 
 
+def _occurrences(index: Index, template: int, words: np.ndarray, versioned: np.ndarray,
+                 places: list[int], diagonals: list[int], min_coverage: float) -> Iterator[tuple]:
+    """Matches of one template; its hits come in text order. The first hit left is
+    aligned, with those on near diagonals around it. An alignment of enough words
+    splits the text, also where it is of another licence: the hits before and after
+    it are aligned again, each on its side. Otherwise its hits are done."""
+    own = index.words[template]
+    reach = BAND + len(own) // DRIFT
+    done = bytearray(len(places))
+    todo = [(0, len(words), 0, len(places))]
+    while todo:
+        lo, hi, k, end = todo.pop()
+        while k < end and done[k]:
+            k += 1
+        if k == end or hi - lo < min_coverage * len(own):
+            continue
+        last = bisect_right(places, places[k] + len(own) + 2 * reach, k, end)
+        group = [j for j in range(k, last) if not done[j] and abs(diagonals[j] - diagonals[k]) <= reach]
+        low, high = min(diagonals[j] for j in group), max(diagonals[j] for j in group)
+        diagonal, band = (low + high) // 2 - lo, reach + (high - low + 1) // 2
+        part = words[lo:hi]
+        got = None
+        if _in_band(own, part, diagonal, band) >= min_coverage * len(own):
+            got = align(own, part, diagonal, band)
+        if got is None or got[1] < min_coverage * len(own):
+            for j in group:
+                done[j] = 1
+            todo.append((lo, hi, k, end))
+            continue
+        first, final = lo + got[2], lo + got[3]
+        if _told_apart(index, template, part, versioned[lo:hi], got):
+            yield index.names[template], got[1] / len(own), got[1], first, final, got[0]
+        todo.append((final + 1, hi, bisect_right(places, final, k, end), end))
+        todo.append((lo, first, k, bisect_left(places, first, k, end)))
+
+
 def _matches(index: Index, words: np.ndarray, versioned: np.ndarray,
              hits: list[tuple[int, int, int]], min_coverage: float) -> list[tuple]:
-    """Matches of one text; ``hits`` are (template, diagonal, text place)."""
-    found = []
+    """Matches of one text; ``hits`` are (template, text place, diagonal)."""
+    found: list[tuple] = []
     hits.sort()
-    k = 0
-    while k < len(hits):
-        template, first = hits[k][:2]
-        own = index.words[template]
-        reach = BAND + len(own) // DRIFT
-        end = k
-        while end + 1 < len(hits) and hits[end + 1][0] == template and hits[end + 1][1] - first <= reach:
-            end += 1
-        diagonal = (first + hits[end][1]) // 2
-        band = reach + (hits[end][1] - first + 1) // 2
-        if _in_band(own, words, diagonal, band) >= min_coverage * len(own):
-            got = align(own, words, diagonal, band)
-            if (got is not None and got[1] >= min_coverage * len(own)
-                    and _told_apart(index, template, words, versioned, got)):
-                found.append((index.names[template], got[1] / len(own), got[1], got[2], got[3], got[0]))
-        k = end + 1
+    for template, own in groupby(hits, key=lambda h: h[0]):
+        _, places, diagonals = zip(*own)
+        found += _occurrences(index, template, words, versioned, places, diagonals, min_coverage)
     # where matches overlap, the one with the best score stays
     out: list[tuple] = []
     for m in sorted(found, key=lambda m: (-m[5], -m[1], m[3], m[0])):
-        if not any(o[3] <= m[4] and m[3] <= o[4] for o in out):
-            out.append(m)
-    return sorted(out, key=lambda m: m[3])
+        at = bisect_left(out, m[3], key=lambda o: o[3])
+        if (at == 0 or out[at - 1][4] < m[3]) and (at == len(out) or m[4] < out[at][3]):
+            out.insert(at, m)
+    return out
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str = "doc_id",
@@ -250,7 +277,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str =
                 hits: dict[int, list] = {}
                 for row, t, p, q in zip(rows[at[which]].tolist(), index.template[entry].tolist(),
                                         place.tolist(), index.place[entry].tolist()):
-                    hits.setdefault(row, []).append((t, p - q, p))
+                    hits.setdefault(row, []).append((t, p, p - q))
                 for row, own in hits.items():
                     b, e = firsts[row], firsts[row + 1]
                     for m in _matches(index, words[b:e], versioned[b:e], own, min_coverage):

@@ -217,6 +217,30 @@ def test_licenses_are_told_apart(spark):
             assert f" {' '.join(_fold(phrase))} " in f" {' '.join(_fold(TEMPLATES[name]))} "
 
 
+def test_adjacent_notices_are_all_found(spark):
+    lines = ["Released under the MIT License.\n", "Licensed under CC BY 4.0.\n",
+             "Licensed under the Apache License, Version 2.0.\n"]
+    names = ["MIT-notice", "CC-BY-4.0-notice", "Apache-2.0-notice"]
+    rng = random.Random(6)
+    mixed = [rng.randrange(3) for _ in range(300)]
+    runs = [[k] * n for k in range(3) for n in (1, 2, 3, 1000)] + [mixed]
+    texts = ["".join(lines[k] for k in run) for run in runs]
+    # damaged notices right before and after whole ones and another licence
+    runs += [[0, 0, 0], [3, 1]]
+    names.append("CC-BY-ND-4.0-notice")
+    texts.append("Released under X the MIT License. Released under the MIT License. Released under X the MIT License.")
+    texts.append("Licensed under CC BY-ND 4.0. Under CC BY 4.0.")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    for r in license_scan.scan(docs).collect():
+        assert r.n_matches == len(runs[r.doc_id])
+        assert [m.license for m in r.matches] == [names[k] for k in runs[r.doc_id]]
+        if r.doc_id < len(runs) - 2:
+            at = 0
+            for m, k in zip(r.matches, runs[r.doc_id]):
+                assert (m.begin, m.end) == (at, at + len(lines[k].rstrip(".\n")))
+                at += len(lines[k])
+
+
 # --- toxicity --------------------------------------------------------------
 
 def _labelled(n, seed):
