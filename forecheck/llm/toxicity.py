@@ -9,7 +9,9 @@
   from toxic segments.
 * Calibration uses the half of the sample the dictionaries have not seen: a
   table of log-likelihood ratios per positive gain (the evidence of a window),
-  and a logistic curve over a text's evidence and its number of windows.
+  and a logistic curve over a text's evidence and its number of windows. The
+  sample is weighted to the class shares of all training rows, so a score means
+  the same probability at every table size.
 * ``score`` cuts every whole text into overlapping windows, compresses each
   under both dictionaries and adds the evidence up. One pass, no shuffle.
 
@@ -168,13 +170,13 @@ def _features(gains: np.ndarray, weights: np.ndarray) -> tuple[float, float, flo
     return float(weights[gains].sum()), float(np.log1p(len(gains))), 1.0
 
 
-def _logistic(a: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Coefficients by Newton steps with a small ridge."""
+def _logistic(a: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Coefficients by Newton steps with a small ridge; ``weight`` per row."""
     w = np.zeros(a.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        gradient = a.T @ (p - y) + 1e-2 * w
-        hessian = (a * (p * (1 - p))[:, None]).T @ a + 1e-2 * np.eye(len(w))
+        gradient = a.T @ (weight * (p - y)) + 1e-2 * w
+        hessian = (a * (weight * p * (1 - p))[:, None]).T @ a + 1e-2 * np.eye(len(w))
         step = np.linalg.solve(hessian, gradient)
         w -= step
         if np.abs(step).max() < 1e-8:
@@ -182,15 +184,18 @@ def _logistic(a: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def fit_texts(toxic: list[str], ordinary: list[str]) -> Model:
+def fit_texts(toxic: list[str], ordinary: list[str], counts: tuple[int, int] | None = None) -> Model:
     """Model from labelled texts; every second text of a class calibrates.
+    ``counts`` are the toxic and ordinary rows the texts stand for (by default the
+    texts themselves).
 
     With fewer than four texts in a class nothing can be learned: the weights
     are 0 and every score is the share of toxic texts (0 when there are none).
     """
     t, o = [_fold(x) for x in toxic], [_fold(x) for x in ordinary]
+    counts = (len(t), len(o)) if counts is None else counts
+    share = counts[0] / max(1, sum(counts))
     if min(len(t), len(o)) < 4:
-        share = len(t) / max(1, len(t) + len(o))
         share = min(max(share, 1e-6), 1 - 1e-6)
         return Model(b" ", b" ", (0.0,) * (GAINS[1] - GAINS[0] + 1),
                      (0.0, 0.0, float(np.log(share / (1 - share)))))
@@ -207,12 +212,29 @@ def fit_texts(toxic: list[str], ordinary: list[str]) -> Model:
     # ratios shrink to the pooled share where few windows have a gain; only
     # windows that compress better under the toxic dictionary are evidence
     pooled = hist.sum(0) / hist.sum()
-    share = (hist + PRIOR_WINDOWS * pooled) / (hist.sum(1, keepdims=True) + PRIOR_WINDOWS)
-    ratio = np.log(np.maximum(share[0], 1e-12) / np.maximum(share[1], 1e-12))
+    own = (hist + PRIOR_WINDOWS * pooled) / (hist.sum(1, keepdims=True) + PRIOR_WINDOWS)
+    ratio = np.log(np.maximum(own[0], 1e-12) / np.maximum(own[1], 1e-12))
     weights = np.where(np.arange(size) + GAINS[0] > 0, np.maximum(ratio, 0), 0.0)
     x = np.array([_features(g, weights) for group in seen for g in group])
-    y = np.repeat([1.0, 0.0], [len(seen[0]), len(seen[1])])
-    return Model(segments + base, base, tuple(weights.tolist()), tuple(_logistic(x, y).tolist()))
+    sizes = [len(seen[0]), len(seen[1])]
+    y = np.repeat([1.0, 0.0], sizes)
+    weight = np.repeat([share * sum(sizes) / sizes[0], (1 - share) * sum(sizes) / sizes[1]], sizes)
+    return Model(segments + base, base, tuple(weights.tolist()), tuple(_logistic(x, y, weight).tolist()))
+
+
+def _training_labels(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    """``id`` and ``label`` of every labelled id that is not held out."""
+    return (labels.where(labels[label_col].isin(0, 1) & labels[id_col].isNotNull()
+                         & ~held_out(labels[id_col]))
+            .groupBy(labels[id_col].alias("id")).agg(F.max(labels[label_col]).alias("label")))
+
+
+def class_counts(labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxic") -> tuple[int, int]:
+    """Toxic and ordinary training rows, in the sample or not."""
+    toxic = F.col("label") == 1
+    row = _training_labels(labels, id_col, label_col).agg(
+        F.count_if(toxic).alias("toxic"), F.count_if(~toxic).alias("ordinary")).first()
+    return row.toxic, row.ordinary
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
@@ -220,10 +242,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     """Texts of the sample: per class the rows with the smallest id hashes, of
     those whose id is not held out. At most ``SAMPLE_TOXIC`` and
     ``SAMPLE_ORDINARY`` rows of up to ``SAMPLE_BYTES`` bytes reach the driver."""
-    own = (labels.where(labels[label_col].isin(0, 1) & labels[id_col].isNotNull()
-                        & ~held_out(labels[id_col]))
-           .groupBy(labels[id_col].alias("id")).agg(F.max(labels[label_col]).alias("label"))
-           .withColumn("h", F.xxhash64("id")))
+    own = _training_labels(labels, id_col, label_col).withColumn("h", F.xxhash64("id"))
     wanted = None
     for label, most in ((1, SAMPLE_TOXIC), (0, SAMPLE_ORDINARY)):
         part = own.where(F.col("label") == label).orderBy("h", "id").limit(most)
@@ -243,8 +262,10 @@ def held_out(id_column):
     return F.crc32(id_column.cast("string").cast("binary")) % 5 == 0
 
 
-def fit(docs: DataFrame, labels: DataFrame, **names) -> Model:
-    return fit_texts(*training_rows(docs, labels, **names))
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+        label_col: str = "toxic") -> Model:
+    sample = training_rows(docs, labels, id_col, text_col, label_col)
+    return fit_texts(*sample, class_counts(labels, id_col, label_col))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id",

@@ -286,6 +286,20 @@ def test_labels_of_held_out_rows_are_not_read(spark):
     assert ids == {k for k in range(200) if zlib.crc32(str(k).encode()) % 5}
 
 
+def test_scores_keep_the_class_shares_of_all_rows(spark, monkeypatch):
+    """Labels that the texts tell nothing of: the score is the share of toxic rows,
+    however many of each class are sampled."""
+    texts = [(k, t) for k, t, _ in _labelled(1500, 7) if k % 5]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, int(j % 10 == 0)) for j, (k, _) in enumerate(texts)],
+                                   "doc_id bigint, toxic int")
+    for most in (80, 10_000):
+        monkeypatch.setattr(toxicity, "SAMPLE_TOXIC", most)
+        monkeypatch.setattr(toxicity, "SAMPLE_ORDINARY", 3 * most)
+        scores = [r.score for r in toxicity.score(docs, toxicity.fit(docs, labels)).collect()]
+        assert 0.07 < sum(scores) / len(scores) < 0.13
+
+
 @pytest.mark.parametrize("rows", [[], [(1, 0)], [(k, 0) for k in range(40)]])
 def test_too_few_labels_give_a_constant_score(spark, rows):
     docs = spark.createDataFrame([(k, f"some text {k}") for k in range(40)], "doc_id bigint, text string")
