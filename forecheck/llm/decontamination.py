@@ -18,8 +18,8 @@ functions only.
 * ``proximity_matches`` relaxes the intersection: the rarest terms of a window
   may be shifted against each other by up to ``slop`` words.
 
-The test side is small (a benchmark); it is broadcast only after its rows were
-counted, otherwise the joins shuffle.
+The test side is small (a benchmark); it is broadcast only after its rows and
+bytes were measured, otherwise the joins shuffle.
 """
 
 from __future__ import annotations
@@ -32,7 +32,8 @@ from forecheck.llm.common import stored, table
 
 WINDOW = 13
 RAREST = 2                      # terms of a window whose lists are intersected
-BROADCAST_ROWS = 500_000        # rows (of a few dozen bytes) up to which a side is broadcast
+BROADCAST_ROWS = 500_000        # rows up to which a side is broadcast,
+BROADCAST_BYTES = 16 << 20      # and bytes as JSON (in memory up to about four times as many)
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORD = r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]+)"
@@ -45,15 +46,17 @@ def words(text: Column) -> Column:
 
 
 def _bounded(df: DataFrame) -> DataFrame:
-    """Hint a broadcast only after the rows were counted."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    """Hint a broadcast only after the rows and bytes were measured."""
+    size = F.octet_length(F.to_json(F.struct("*"))).cast("long")
+    row = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
+    return F.broadcast(df) if row.rows <= BROADCAST_ROWS and row.bytes <= BROADCAST_BYTES else df
 
 
 def test_items(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """Items with words: item (as text), words, n (words of a window)."""
+    """Items with words: item (as text, or NULL), words, n (words of a window)."""
     return (benchmark.select(benchmark[id_col].cast("string").alias("item"),
                              words(benchmark[text_col].cast("string")).alias("words"))
-            .where("item is not null and size(words) > 0").distinct()
+            .where("size(words) > 0").distinct()
             # equal ids with different texts are told apart
             .withColumn("key", F.xxhash64("item", F.array_join("words", " ")))
             .withColumn("n", F.least(F.size("words"), F.lit(WINDOW))))
@@ -140,8 +143,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     windows) and ``contaminated`` (``n_hit`` > 0 and at least a twentieth of the
     words).
 
-    NULL or empty texts have no words and are clean; items without words or id
-    are left out; repeated rows and ids are judged each on its own text; NULL ids
+    NULL or empty texts have no words and are clean; items without words are left
+    out; those without an id count as any other and are one NULL, the last, of
+    ``items``; repeated rows and ids are judged each on its own text; NULL ids
     work as any other. Empty documents give no rows, an empty benchmark leaves
     every document clean. Other columns are not read, or with ``carry`` all are
     returned, followed by the figures as one struct column of that name.

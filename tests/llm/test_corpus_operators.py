@@ -221,6 +221,39 @@ def test_contamination_with_shuffled_sides(spark, monkeypatch):
     assert got == [(1, 3, ["7"]), (2, 3, ["7"])]
 
 
+def test_items_without_id_count_as_in_the_sql(spark, tmp_path):
+    import duckdb
+
+    from forecheck.llm.queries import ORACLE_SQL
+
+    passage = " ".join(f"p{k}" for k in range(20))
+    other = " ".join(f"q{k}" for k in range(15))
+    docs = spark.createDataFrame([(1, f"x {passage} y"), (2, f"{other} z {passage}"), (3, "p1 p2 p3"),
+                                  (4, other)], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(None, passage), (None, "a b c"), (7, other), (None, other)],
+                                  "item_id bigint, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    want = con.execute(ORACLE_SQL["op2_decontamination"])
+    columns = [c[0] for c in want.description]
+    got = decontamination.op2_decontamination(spark, str(tmp_path)).select(*columns).collect()
+    assert sorted(map(tuple, got)) == sorted(want.fetchall())
+    hit = {r.doc_id: (r.n_hit, r["items"]) for r in decontamination.contamination(docs, bench).collect()}
+    assert hit == {1: (20, [None]), 2: (35, ["7", None]), 3: (0, []), 4: (15, ["7", None])}
+
+
+def test_sides_of_many_bytes_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "BROADCAST_BYTES", 1000)
+    small = spark.createDataFrame([(1, ["a"])], "key bigint, words array<string>")
+    large = spark.createDataFrame([(1, ["word"] * 1000)], "key bigint, words array<string>")
+    hinted = lambda d: "broadcast" in decontamination._bounded(d)._jdf.queryExecution().logical().toString()
+    assert hinted(small) and not hinted(large)
+    assert hinted(small.limit(0))
+
+
 def test_proximity_matches_allow_small_shifts(spark):
     bench = spark.createDataFrame([(1, "alpha beta gamma delta")], "item_id bigint, text string")
     docs = spark.createDataFrame(
