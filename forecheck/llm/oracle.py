@@ -6,7 +6,7 @@ compared directly instead of going through suffix arrays, postings or sweeps.
 
 from __future__ import annotations
 
-from forecheck.llm import chat_format, repetition, url_rules
+from forecheck.llm import chat_format, hard_negatives, lexical_search, repetition, url_rules
 
 _WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -172,3 +172,63 @@ SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed
            FOR i IN range(1, len(bs) + 1)], '') END)) AS kept_sha256
 FROM h LEFT JOIN gone USING (doc_id)
 """
+
+
+_TERMS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def _terms(table: str, key: str) -> str:
+    """One row per row of ``table``: a number of its own, its key and its words."""
+    return f"""
+    SELECT row_number() OVER () AS r, {key},
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                        'abcdefghijklmnopqrstuvwxyz'), '{_TERMS}') AS words
+    FROM {table}"""
+
+
+OP11_BAG_SEARCH = f"""
+WITH d AS ({_terms('documents', 'doc_id')}),
+i AS ({_terms('benchmark', 'item_id')}),
+corpus AS (SELECT count(*) FILTER (WHERE len(words) > 0) AS docs,
+                  coalesce(sum(len(words)), 0)::BIGINT AS words FROM d),
+wanted AS (SELECT r AS item, item_id, term, count(*) AS times
+           FROM (SELECT r, item_id, unnest(words) AS term FROM i) GROUP BY ALL),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(words) AS term FROM d)
+       WHERE term IN (SELECT term FROM wanted) GROUP BY ALL),
+weight AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+           FROM tf, corpus GROUP BY term),
+value AS (SELECT tf.r, doc_id, term,
+                 w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * len(d.words) * docs) // corpus.words))) AS v
+          FROM tf JOIN d USING (r) JOIN weight USING (term), corpus),
+scored AS (SELECT item, item_id, r, doc_id, sum(times * v)::BIGINT AS score
+           FROM wanted JOIN value USING (term) GROUP BY ALL)
+SELECT item_id, row_number() OVER ranking::INTEGER AS rank, doc_id, score
+FROM scored WHERE score > 0
+WINDOW ranking AS (PARTITION BY item ORDER BY score DESC, doc_id ASC NULLS LAST)
+QUALIFY row_number() OVER ranking <= {lexical_search.K}
+"""
+
+OP12_HARD_NEGATIVES = f"""
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor({hard_negatives.SCALE} * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.r AS anchor, a.vec_id AS anchor_id, b.r AS other, b.vec_id AS other_id,
+         a.label = b.label AS same, list_dot_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.r != b.r WHERE a.vec_id % 100 = 0),
+positive AS (
+  SELECT anchor, anchor_id, other AS positive, other_id AS positive_id, score AS positive_score
+  FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other_id) <= {hard_negatives.N_POSITIVES})
+SELECT p.anchor_id, positive_id, row_number() OVER ranking::INTEGER AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM positive p JOIN scored s ON p.anchor = s.anchor AND NOT same
+ AND {hard_negatives.WINDOW[0]} * positive_score <= 100 * score
+ AND 100 * score <= {hard_negatives.WINDOW[1]} * positive_score
+WINDOW ranking AS (PARTITION BY p.anchor, positive ORDER BY score DESC, other_id)
+QUALIFY row_number() OVER ranking <= {hard_negatives.N_NEGATIVES}
+"""

@@ -10,8 +10,11 @@ from forecheck.llm import oracle
 from forecheck.llm.bpe_replay import op5_bpe_replay
 from forecheck.llm.chat_format import op4_chat_format
 from forecheck.llm.decontamination import op2_decontamination
+from forecheck.llm.hard_negatives import op12_hard_negatives
 from forecheck.llm.jaccard_join import op7_jaccard_join
+from forecheck.llm.lexical_search import op11_bag_search
 from forecheck.llm.license_scan import op6_license_scan
+from forecheck.llm.packing import op13_packing
 from forecheck.llm.prefix_free_dedup import op3_prefix_free_dedup
 from forecheck.llm.repetition import op1_repetition
 from forecheck.llm.toxicity import op8_toxicity
@@ -29,6 +32,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_warc": op9_warc,
     "op10_url_rules": op10_url_rules,
+    "op11_bag_search": op11_bag_search,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_packing": op13_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -38,4 +44,6 @@ ORACLE_SQL: dict[str, str] = {
     "op4_chat_format": oracle.OP4_CHAT_FORMAT,
     "op9_warc": oracle.OP9_WARC,
     "op10_url_rules": oracle.OP10_URL_RULES,
+    "op11_bag_search": oracle.OP11_BAG_SEARCH,
+    "op12_hard_negatives": oracle.OP12_HARD_NEGATIVES,
 }
