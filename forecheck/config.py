@@ -104,14 +104,16 @@ class ReportParams:
 class Sizing:
     """Size bounds used before hinting a broadcast.
 
-    A side is broadcast only after its row count was checked against
-    ``broadcast_max_rows`` and its measured size in the cache against
-    ``broadcast_max_bytes``; larger sides fall back to a shuffle join (with AQE
-    skew splitting).
+    A side is broadcast only after a probe checked its row count against
+    ``broadcast_max_rows`` and its size against ``broadcast_max_bytes``; larger sides fall
+    back to a shuffle join (with AQE skew splitting).
     """
 
     broadcast_max_rows: int = 1_000_000
     broadcast_max_bytes: int = 64 * 1024 * 1024
+    # a table below this size (as its scan estimates it) has no partition that a hot
+    # key could make too large, so its keys are not searched for one
+    skew_min_bytes: int = 256 * 1024 * 1024
 
 
 DEFAULT_SIZING = Sizing()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from forecheck.functions import fiscal
 from forecheck.functions.numeric import flag
 from forecheck.functions.paths import LEVELS
 from forecheck.operators.hierarchy import hierarchy_paths
-from forecheck.operators.relational import flag_in
+from forecheck.operators.relational import flags_in, membership
 
 
 def plan_snapshot(df: DataFrame, channel: str, weeks: WeekRange,
@@ -80,12 +82,13 @@ def normalize_forecast(df: DataFrame) -> DataFrame:
 def validation_flags(base: DataFrame, bridge: DataFrame, working: DataFrame, ly: DataFrame,
                      lly: DataFrame, forecast: DataFrame, comp_narrow: DataFrame,
                      comp_wide: DataFrame, selling_products: DataFrame,
-                     new_products: DataFrame, channel: str, cutoff: int) -> DataFrame:
+                     new_products: DataFrame, channel: str, cutoff: int,
+                     sized: Callable[[DataFrame], DataFrame] = lambda side: side) -> DataFrame:
     """Plan rows with the model forecast and seven 0/1 flags, up to ``cutoff``.
 
     ``base`` holds the rows of one ``channel``. ``comp_narrow``, ``comp_wide``,
-    ``selling_products`` and ``new_products`` are one-column distinct product-code
-    sets. Output is distinct.
+    ``selling_products`` and ``new_products`` are one-column product-code sets; they
+    become one table of bit masks, which ``sized`` may hint. Output is distinct.
 
     Every input is made distinct on what the output keeps of it, before the
     joins: the prior years without their scenarios, the bridge as (code, paths),
@@ -106,14 +109,12 @@ def validation_flags(base: DataFrame, bridge: DataFrame, working: DataFrame, ly:
     final = (a.join(f, ["product_code", "fiscal_year_week", "scenario1"], "left")
              .withColumn("fiscal_year", fiscal.key_year_text("fiscal_year_week"))
              .withColumn("fiscal_week", fiscal.key_week_text("fiscal_year_week")))
-    code = F.col("product_code")
-    out = flag_in(final, code, comp_narrow, "comp_flag_30")
-    out = flag_in(out, code, comp_wide, "comp_flag_50")
-    out = (out.withColumn("wp_5_flag", flag(F.col("wp") < 5))
-              .withColumn("predicted_flag", flag(F.col("predicted").isNotNull()))
-              .withColumn("sold_week_ly", flag(F.col("qty_ly").isNotNull())))
-    out = flag_in(out, code, selling_products, "product_with_sales")
-    return flag_in(out, code, new_products, "new_prod_flag")
+    sets = {"comp_flag_30": comp_narrow, "comp_flag_50": comp_wide,
+            "product_with_sales": selling_products, "new_prod_flag": new_products}
+    return (flags_in(final, F.col("product_code"), sized(membership(sets)), sets)
+            .withColumns({"wp_5_flag": flag(F.col("wp") < 5),
+                          "predicted_flag": flag(F.col("predicted").isNotNull()),
+                          "sold_week_ly": flag(F.col("qty_ly").isNotNull())}))
 
 
 def validated_discounts(df: DataFrame) -> DataFrame:

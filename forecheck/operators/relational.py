@@ -4,6 +4,8 @@
 * ``flag_in``: ``CASE WHEN key IN (set) THEN 1 ELSE 0 END`` as a left join
   against the distinct key set (NULL keys get 0, duplicates in the set are
   ignored, rows are never multiplied).
+* ``membership`` and ``flags_in``: the same for several sets over one key, as one table
+  of bit masks and one join.
 * ``not_in_flag``: ``key NOT IN (set)`` with SQL's NULL rules from a hash join and
   two scalar guards, so it never degrades to a nested-loop join.
 """
@@ -11,8 +13,10 @@
 from __future__ import annotations
 
 import itertools
+from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -48,12 +52,13 @@ class Side:
 class Sides:
     """Measures join sides and remembers what it persisted.
 
-    A candidate side is persisted (MEMORY_AND_DISK) and filled; it fits when the
-    cache's rows are within ``sizing.broadcast_max_rows`` and its bytes in the cache within
-    ``sizing.broadcast_max_bytes``. A side that does not fit is released again and
-    returned as it was: the join then shuffles both sides, and adaptive execution
-    still splits skewed partitions. The persisted copy is what the join reads, so
-    a side is computed once; lost cached blocks are recomputed from lineage.
+    A candidate side is probed first: its rows and bytes are summed up to one row
+    beyond ``sizing.broadcast_max_rows`` (each task stops there). A side within that and
+    ``sizing.broadcast_max_bytes`` fits: it is persisted (MEMORY_AND_DISK) and hinted, so the
+    join reads a copy that is computed once; lost blocks are recomputed from
+    lineage. A side that does not fit is never cached and is returned as it was: the
+    join then shuffles both sides, and adaptive execution still splits skewed
+    partitions.
     """
 
     def __init__(self, sizing: Sizing = DEFAULT_SIZING):
@@ -66,17 +71,15 @@ class Sides:
         self.kept.append(kept)
         return kept
 
+    def probe(self, df: DataFrame) -> DataFrame:
+        """One row (n, size): rows, at most one beyond the bound, and their bytes."""
+        return (df.select(_row_bytes(df).alias("size")).limit(self.sizing.broadcast_max_rows + 1)
+                .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("size")))
+
     def check(self, df: DataFrame) -> Side:
-        kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-        kept.write.format("noop").mode("overwrite").save()
-        # a fresh plan over the filled cache reports the cache's real rows and bytes
-        stats = kept.select("*")._jdf.queryExecution().optimizedPlan().stats()
-        rows, size = int(str(stats.rowCount().get())), int(str(stats.sizeInBytes()))
-        if rows <= self.sizing.broadcast_max_rows and size <= self.sizing.broadcast_max_bytes:
-            self.kept.append(kept)
-            return Side(kept, True)
-        kept.unpersist()
-        return Side(df, False)
+        found = self.probe(df).first()
+        fits = found.n <= self.sizing.broadcast_max_rows and found.size <= self.sizing.broadcast_max_bytes
+        return Side(self.keep(df), True) if fits else Side(df, False)
 
     def check_all(self, frames: dict[str, DataFrame]) -> dict[str, Side]:
         """Measure several sides at the same time."""
@@ -89,6 +92,17 @@ class Sides:
             self.kept.pop().unpersist()
 
 
+def _row_bytes(df: DataFrame) -> Column:
+    """Size of a row in memory: 8 bytes and 8 more per column, and what strings hold."""
+    texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in df.dtypes if kind in ("string", "binary")]
+    return sum(texts, F.lit(8 + 8 * len(df.columns))).cast("long")
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """What the optimizer takes a frame's size to be; a scan's is its files' size."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def bounded_broadcast(df: DataFrame) -> DataFrame:
     """Broadcast a side whose size is bounded by construction (e.g. at most one
     row per constant), no check needed."""
@@ -109,6 +123,26 @@ def flag_in(df: DataFrame, key: Column, keys: DataFrame, out: str) -> DataFrame:
             .drop(k, hit))
 
 
+def membership(sets: dict[str, DataFrame]) -> DataFrame:
+    """One row (key, mask) per key of any of the one-column ``sets``: bit k of the mask
+    says whether the key is in the k-th set. One aggregate; repeated keys are fine."""
+    parts = [keys.select(F.col(keys.columns[0]).alias("key"), F.lit(1 << bit).alias("mask"))
+             for bit, keys in enumerate(sets.values())]
+    return (reduce(DataFrame.unionByName, parts).where(F.col("key").isNotNull())
+            .groupBy("key").agg(F.bit_or("mask").alias("mask")))
+
+
+def flags_in(df: DataFrame, key: Column, members: DataFrame, names: Iterable[str]) -> DataFrame:
+    """Add one 0/1 column per set of ``membership``, in its order: ``key`` is in the set.
+    One join that cannot multiply rows; a NULL key is in no set."""
+    k, mask = _fresh("k"), _fresh("mask")
+    right = members.select(F.col("key").alias(k), F.col("mask").alias(mask))
+    bits = F.coalesce(F.col(mask), F.lit(0))
+    flags = {n: F.when(bits.bitwiseAND(F.lit(1 << bit)) != 0, F.lit(1)).otherwise(F.lit(0))
+             for bit, n in enumerate(names)}
+    return df.join(right, key == F.col(k), "left").withColumns(flags).drop(k, mask)
+
+
 def not_in_flag(key: Column, hit: Column, keys: DataFrame) -> Column:
     """Boolean column for ``key NOT IN (keys)`` given ``hit`` = key matched the
     non-NULL set (from a left join). NULL when SQL would give NULL."""

@@ -9,14 +9,28 @@ from pyspark.sql import functions as F
 
 from forecheck.functions import fiscal
 from forecheck.operators.relational import bounded_broadcast
+from forecheck.operators.skew import HeavyKeys, salted_left_join
 
 CHAIN_COLUMNS = ("l0_name", "sku", "po_date", "date_shipped", "quantity_shipped",
                  "warehouse_date", "ordered_quantity", "channel", "initial_eta")
 
 
+LINE_KEY = ["po_number", "sku"]
+SHIPMENT_KEY = [*LINE_KEY, "container_number", "inventory_packing_list_summary_id"]
+
+
+def receipts(receipt: DataFrame) -> DataFrame:
+    """Receipt lines by the packing list's key. Output: ``SHIPMENT_KEY``, warehouse_date."""
+    return receipt.select(
+        "po_number", F.col("product_code").alias("sku"), "container_number",
+        "inventory_packing_list_summary_id", F.to_date("date_received").alias("warehouse_date"))
+
+
 def po_status(po: DataFrame, packing: DataFrame, receipt: DataFrame, as_of: dt.date,
               brands: tuple[str, ...], default_brand: str,
-              arriving: tuple[Column, Column] | None = None) -> DataFrame:
+              arriving: tuple[Column, Column] | None = None,
+              heavy_lines: HeavyKeys | None = None,
+              heavy_shipments: HeavyKeys | None = None) -> DataFrame:
     """Purchase-order lines with their shipments and receipts, distinct.
 
     * brand outside ``brands`` (or NULL) becomes ``default_brand``;
@@ -33,12 +47,13 @@ def po_status(po: DataFrame, packing: DataFrame, receipt: DataFrame, as_of: dt.d
     The result drops ``po_number``, so identical lines of different orders
     collapse. Both sides are de-duplicated on (join key + kept columns) before
     the join: that cannot change a DISTINCT result and keeps the join from
-    pairing up duplicate rows of one order line. Each left join is an inner join
-    plus the unmatched rows, because adaptive execution can split a hot key on
-    either side of an inner join, but only on the left of a left join.
+    pairing up duplicate rows of one order line. Each input is read once, each
+    step is one left join. A hot key on the left is split by adaptive execution;
+    ``heavy_lines`` (of the packing list, by ``LINE_KEY``) and ``heavy_shipments`` (of
+    ``receipts``, by ``SHIPMENT_KEY``) salt the keys that are hot on the right.
     Output columns: ``CHAIN_COLUMNS``.
     """
-    key = ["po_number", "sku"]
+    key = LINE_KEY
     tomorrow = F.date_add(F.lit(as_of), 1)
     if arriving is not None:
         first, last = arriving
@@ -49,19 +64,17 @@ def po_status(po: DataFrame, packing: DataFrame, receipt: DataFrame, as_of: dt.d
          .otherwise(F.lit(default_brand)).alias("l0_name"),
         "sku", "po_number", F.to_date("po_date").alias("po_date"),
         "ordered_quantity", "channel", "intial_eta").distinct())
-    wr = receipt.select(
-        "po_number", F.col("product_code").alias("sku"), "container_number",
-        "inventory_packing_list_summary_id", F.to_date("date_received").alias("warehouse_date"))
+    wr = receipts(receipt)
     if arriving is not None:
         wanted = po.select(*key).distinct()
         packing, wr = packing.join(wanted, key, "left_semi"), wr.join(wanted, key, "left_semi")
-    shipped = (_left(packing, wr, [*key, "container_number", "inventory_packing_list_summary_id"])
+    shipped = (salted_left_join(packing, wr, SHIPMENT_KEY, heavy_shipments)
                .select(*key, "date_shipped", "quantity_shipped", "warehouse_date")
                .distinct())
     eta = (F.when((F.col("intial_eta") <= tomorrow)
                   & (F.col("date_shipped").isNull() | F.col("warehouse_date").isNull()), tomorrow)
            .otherwise(F.col("intial_eta")))
-    chain = (_left(lines, shipped, key)
+    chain = (salted_left_join(lines, shipped, key, heavy_lines)
              .select("l0_name", "sku", "po_date", "date_shipped", "quantity_shipped",
                      "warehouse_date", "ordered_quantity", "channel", eta.alias("initial_eta")))
     if arriving is not None:
@@ -69,12 +82,6 @@ def po_status(po: DataFrame, packing: DataFrame, receipt: DataFrame, as_of: dt.d
     return chain.distinct()
 
 
-def _left(left: DataFrame, right: DataFrame, key: list[str]) -> DataFrame:
-    """Left join on equal columns, as inner join and unmatched remainder."""
-    return left.join(right, key).unionByName(left.join(right, key, "left_anti"),
-                                             allowMissingColumns=True)
-
-
 def open_by_arrival(chain: DataFrame, calendar: DataFrame, as_of: dt.date) -> DataFrame:
     """Open units per brand, arrival date, arrival week, SKU and channel.
 

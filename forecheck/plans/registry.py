@@ -67,7 +67,7 @@ def _stored_report_profile(r: ForecastValidation) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "plan_snapshot": _q(lambda r: r.plan_base),
     "product_bridge": _q(lambda r: r.bridge),
-    "active_hierarchy": _q(lambda r: r.active),
+    "active_hierarchy": _q(lambda r: r.active_rows),
     "hierarchy_paths": _q(_hierarchy_paths),
     "plan_year_alignment": _q(lambda r: r.aligned),
     "forecast_week_parts": _q(lambda r: r.forecast_norm),
@@ -79,7 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "comparable_50": _q(lambda r: r.comp_wide),
     "comparable_50_latest": _q(lambda r: r.comparable(r.p.wide_band, "latest")),
     "validation_flags": _q(lambda r: r.validation),
-    "validated_discounts": _q(lambda r: r.discounts),
+    "validated_discounts": _q(lambda r: r.discount_rows),
     "product_code_parts": _q(lambda r: r.comparable_skus),
     "po_receipt_chain": _q(lambda r: r.chain),
     "open_by_arrival": _q(lambda r: r.arrivals),

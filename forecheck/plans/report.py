@@ -29,7 +29,8 @@ from forecheck.config import DEFAULT_SIZING, ReportParams, Sizing
 from forecheck.functions.paths import brand_sku_key
 from forecheck.operators import (actuals, comparable, explain, forecast, hierarchy, plan,
                                  supply)
-from forecheck.operators.relational import Side, Sides
+from forecheck.operators.relational import Side, Sides, estimated_bytes
+from forecheck.operators.skew import HeavyKeys, heavy_keys
 from forecheck.sources.tables import Tables
 
 
@@ -42,6 +43,7 @@ class ForecastValidation:
         self.p = params
         self.sides = Sides(sizing)
         self._cand: dict[str, DataFrame] = {}
+        self._fact_sides: dict[str, Side] = {}
 
     def close(self) -> None:
         self.sides.close()
@@ -53,26 +55,29 @@ class ForecastValidation:
         self.close()
 
     # ---- measured join sides -------------------------------------------------
-    # only sides that meet a raw fact table are measured; everything else is
-    # left to adaptive execution, which knows the size of finished shuffles
-    @cached_property
-    def _fact_sides(self) -> dict[str, Side]:
-        """The sides of the forecast and sales facts, measured at the same time."""
-        rows = plan.plan_snapshot(self.t.plan_forecast, self.p.plan_channel, self.p.plan_weeks, {},
-                                  distinct=False)
-        upto = rows.where(F.col("fiscal_year_week") <= self.p.plan_cutoff)
-        return self.sides.check_all({
-            "active": hierarchy.active_hierarchy(self.t.hierarchy, self.t.product,
-                                                 self.p.hierarchy_level),
-            "discounts": plan.validated_discounts(upto),
-            "comparable_skus": hierarchy.product_code_parts(self.comp_wide, self.p.history_channel),
-        })
+    # only sides that meet a raw fact table are measured, each when it is first asked
+    # for; everything else is left to adaptive execution, which knows the size of
+    # finished shuffles
+    def _fact_side(self, name: str) -> Side:
+        if name not in self._fact_sides:
+            self._fact_sides[name] = self.sides.check(getattr(self, name))
+        return self._fact_sides[name]
+
+    def _measure(self, *names: str) -> None:
+        """Measure the sides that one result needs at the same time."""
+        missing = {n: getattr(self, n) for n in names if n not in self._fact_sides}
+        self._fact_sides |= self.sides.check_all(missing)
 
     # ---- product dimension -------------------------------------------------
     @cached_property
+    def active_rows(self) -> DataFrame:
+        """Active hierarchy rows at the mapping level."""
+        return hierarchy.active_hierarchy(self.t.hierarchy, self.t.product, self.p.hierarchy_level)
+
+    @property
     def active(self) -> DataFrame:
-        """Active hierarchy rows at the mapping level (size-checked dimension)."""
-        return self._fact_sides["active"].frame
+        """The same as a size-checked join side."""
+        return self._fact_side("active_rows").frame
 
     @cached_property
     def bridge(self) -> DataFrame:
@@ -117,35 +122,38 @@ class ForecastValidation:
 
     @cached_property
     def validation(self) -> DataFrame:
-        # the wide band holds every product of the narrow one, and this year's
-        # products hold both: one measured set vouches for the others
-        products = self.sides.check(self.hist_ty.select("product_code").distinct())
-        codes = lambda df: Side(df, products.fits).keys("product_code").frame
-        selling = self.hist_ty.where(F.col("qty_ty") > 0)
+        selling = self.hist_ty.where(F.col("qty_ty") > 0).select("product_code")
         new = self.t.simulation.where(
-            F.col("algorithm_name").isin(list(self.p.new_product_algorithms)))
+            F.col("algorithm_name").isin(list(self.p.new_product_algorithms))).select("product_code")
         # only forecast rows of the plan weeks can match a plan row
         weeks = self.p.plan_weeks
         fc = self.forecast_norm.where(
             F.col("fiscal_year_week").between(weeks.lo, min(weeks.hi, self.p.plan_cutoff)))
         return plan.validation_flags(
             self.plan_base, self._bridge_side, self.plan_wp, self.plan_ly, self.plan_lly, fc,
-            codes(self.comp_narrow), codes(self.comp_wide), codes(selling),
-            Side(new, False).keys("product_code").frame, self.p.plan_channel, self.p.plan_cutoff)
+            self.comp_narrow, self.comp_wide, selling, new, self.p.plan_channel, self.p.plan_cutoff,
+            sized=lambda members: self.sides.check(members).frame)
 
     @cached_property
-    def discounts(self) -> DataFrame:
+    def discount_rows(self) -> DataFrame:
         """Validated (code, week, discount) triples.
 
         The validation table left-joins extra columns onto the cutoff-filtered
         plan snapshot; left joins keep every snapshot row, so its distinct
         (code, week, scenario) equals the snapshot's, read here directly.
         """
-        return self._fact_sides["discounts"].frame
+        rows = plan.plan_snapshot(self.t.plan_forecast, self.p.plan_channel, self.p.plan_weeks, {},
+                                  distinct=False)
+        return plan.validated_discounts(rows.where(F.col("fiscal_year_week") <= self.p.plan_cutoff))
+
+    @property
+    def discounts(self) -> DataFrame:
+        """The same as a size-checked join side."""
+        return self._fact_side("discount_rows").frame
 
     @cached_property
     def discount_codes(self) -> DataFrame:
-        return self._fact_sides["discounts"].keys("hierarchy_code", "hierarchy_code").frame
+        return self._fact_side("discount_rows").keys("hierarchy_code", "hierarchy_code").frame
 
     # ---- comparable products -------------------------------------------------
     @cached_property
@@ -186,7 +194,7 @@ class ForecastValidation:
 
     @cached_property
     def comparable_keys(self) -> DataFrame:
-        return self._fact_sides["comparable_skus"].keys(brand_sku_key("l0_name", "sku")).frame
+        return self._fact_side("comparable_skus").keys(brand_sku_key("l0_name", "sku")).frame
 
     # ---- forecast side -------------------------------------------------------
     @cached_property
@@ -195,6 +203,7 @@ class ForecastValidation:
                                             self.p.forecast_sub_channel)
 
     def selected(self, branch: str = "both") -> DataFrame:
+        self._measure("active_rows", "discount_rows", "comparable_skus")
         return forecast.select_forecast(self.candidates, self.discounts, self.discount_codes,
                                         self.comparable_keys, self.p.default_discount, branch)
 
@@ -212,11 +221,13 @@ class ForecastValidation:
                                       self.p.sales_sub_channel)
 
     def units(self, weeks) -> DataFrame:
+        self._measure("active_rows", "comparable_skus")
         return actuals.window_units(self.window(weeks), self.active)
 
     @cached_property
     def actual_units(self) -> DataFrame:
         """Recent, recent-LY and forward-LY units in one scan of the sales table."""
+        self._measure("active_rows", "comparable_skus")
         return actuals.window_units_multi(
             self.t.sales_weekly, self.comparable_keys, self.active,
             {"ty_units": self.p.recent, "lt_units": self.p.recent_ly,
@@ -224,10 +235,25 @@ class ForecastValidation:
 
     # ---- supply ----------------------------------------------------------------
     @cached_property
-    def chain(self) -> DataFrame:
+    def _heavy(self) -> dict[str, HeavyKeys | None]:
+        """Hot keys of the packing list and the receipts, searched for where the
+        tables are large enough to have a partition that matters."""
+        found = {}
+        for name, df, key in (("heavy_lines", self.t.packing_list, supply.LINE_KEY),
+                              ("heavy_shipments", supply.receipts(self.t.warehouse_receipt),
+                               supply.SHIPMENT_KEY)):
+            large = estimated_bytes(df) >= self.sides.sizing.skew_min_bytes
+            found[name] = heavy_keys(df, key) if large else None
+        return found
+
+    def _po_status(self, arriving=None) -> DataFrame:
         return supply.po_status(self.t.purchase_order, self.t.packing_list,
                                 self.t.warehouse_receipt, self.p.as_of, self.p.po_brands,
-                                self.p.default_brand)
+                                self.p.default_brand, arriving, **self._heavy)
+
+    @cached_property
+    def chain(self) -> DataFrame:
+        return self._po_status()
 
     @cached_property
     def arrivals(self) -> DataFrame:
@@ -236,9 +262,7 @@ class ForecastValidation:
     @cached_property
     def on_order(self) -> DataFrame:
         week, calendar = self.p.on_order_week, self.t.fiscal_calendar
-        chain = supply.po_status(self.t.purchase_order, self.t.packing_list,
-                                 self.t.warehouse_receipt, self.p.as_of, self.p.po_brands,
-                                 self.p.default_brand, supply.week_span(calendar, week))
+        chain = self._po_status(supply.week_span(calendar, week))
         arrivals = supply.open_by_arrival(chain, calendar, self.p.as_of)
         return supply.on_order_units(arrivals, self.p.order_channel, week)
 
