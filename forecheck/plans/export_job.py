@@ -12,9 +12,12 @@ tables of ``--sf-dir``, which bring parameters of their own. Both JSON options t
 the text itself or the name of a file. "Today" is ``--as-of``, else ``as_of`` of the
 parameters, else the current date in UTC. A week window, week or year that holds no rows
 is an error, so wrong parameters cannot end in an empty report.
-The output folder is ``<out>/Forecast_Validation - DD Mon YYYY`` (India date);
-executors write their own part files and the row count is observed during the
-write, so the report never passes through the driver.
+The output folder is ``<out>/Forecast_Validation - DD Mon YYYY`` (India date); each run
+writes its part files into an attempt folder of its own in there and publishes them by
+a manifest, written last, so a failed second run of a day leaves the first report
+as it was (``sinks.read_report`` reads the published one). Executors write their own
+part files and the row count is observed during the write, so the report never passes
+through the driver.
 """
 
 from __future__ import annotations
@@ -22,9 +25,11 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import json
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from pathlib import Path
 
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forecheck.config import ReportParams
@@ -40,29 +45,40 @@ def _json(value: str) -> dict:
     return json.loads(text)
 
 
-def empty_windows(tables: Tables, p: ReportParams) -> list[str]:
-    """Names of the week windows, weeks and years that hold no rows.
-
-    One pass per table: a count of the rows of each window.
-    """
+def window_filters(p: ReportParams) -> dict[str, tuple[str, Column]]:
+    """Window name -> (role, condition on stored columns) of every week window, week
+    and year that the report reads."""
     week = lambda r, c: F.col(c).between(r.lo, r.hi)
-    wanted = [
-        ("sales_weekly", {
-            n: week(getattr(p, n), "fy_week_id") & (F.col("sub_channel") == p.sales_sub_channel)
-            for n in ("recent", "recent_ly", "forward_ly")}),
-        ("forecast_item", {"forward": week(p.forward, "fiscal_year_week")
-                           & (F.col("sub_channel") == p.forecast_sub_channel)}),
-        ("plan_forecast", {"plan_weeks": week(p.plan_weeks, "current_week")
-                           & (F.col("sub_channel") == p.plan_channel)
-                           & (F.col("current_week") <= p.plan_cutoff)}),
-        ("weekly_history", {n: F.col("fiscal_year") == getattr(p, n) for n in ("this_year", "last_year")}),
-        ("fiscal_calendar", {"on_order_week": F.col("fy_week_id") == p.on_order_week}),
-    ]
-    empty = []
-    for role, windows in wanted:
-        counts = tables[role].agg(*(F.count(F.when(c, 1)).alias(n) for n, c in windows.items())).first()
-        empty += [n for n in windows if not counts[n]]
-    return empty
+    sold = F.col("sub_channel") == p.sales_sub_channel
+    filters = {n: ("sales_weekly", week(getattr(p, n), "fy_week_id") & sold)
+               for n in ("recent", "recent_ly", "forward_ly")}
+    filters["forward"] = ("forecast_item", week(p.forward, "fiscal_year_week")
+                          & (F.col("sub_channel") == p.forecast_sub_channel))
+    filters["plan_weeks"] = ("plan_forecast", week(p.plan_weeks, "current_week")
+                             & (F.col("sub_channel") == p.plan_channel)
+                             & (F.col("current_week") <= p.plan_cutoff))
+    filters |= {n: ("weekly_history", F.col("fiscal_year") == getattr(p, n)) for n in ("this_year", "last_year")}
+    filters["on_order_week"] = ("fiscal_calendar", F.col("fy_week_id") == p.on_order_week)
+    return filters
+
+
+def existence_probes(tables: Tables, p: ReportParams) -> dict[str, DataFrame]:
+    """One frame per window that holds a row if the window has any.
+
+    Each is a filter on stored columns below a limit of one: the filter reaches the
+    scan, where it prunes partitions and row groups, and the first row found ends
+    the probe; no fact table is read whole.
+    """
+    return {name: tables[role].where(condition).select(F.lit(1).alias("found")).limit(1)
+            for name, (role, condition) in window_filters(p).items()}
+
+
+def empty_windows(tables: Tables, p: ReportParams) -> list[str]:
+    """Names of the week windows, weeks and years that hold no rows."""
+    probes = existence_probes(tables, p)
+    with ThreadPoolExecutor(max_workers=len(probes)) as pool:
+        empty = pool.map(DataFrame.isEmpty, probes.values())
+        return [name for name, nothing in zip(probes, empty) if nothing]
 
 
 def main(argv: list[str] | None = None) -> str:
@@ -108,13 +124,15 @@ def main(argv: list[str] | None = None) -> str:
             raise SystemExit(f"no rows in: {', '.join(empty)}; check the report parameters")
         validation = ForecastValidation(tables, params)
         report = validation.rollup()
-    path = sinks.report_path(args.out, dt.datetime.now(dt.timezone.utc))
-    rows, cols = sinks.export_with_profile(report, path, args.format)
-    if validation is not None:
-        validation.close()
-    print(f"[INFO] report rows: {rows:,}; cols: {cols}")
-    print(f"[INFO] report written to: {path}")
-    return path
+    now = dt.datetime.now(dt.timezone.utc)
+    try:
+        done = sinks.publish_report(report, sinks.report_path(args.out, now), args.format, now)
+    finally:
+        if validation is not None:
+            validation.close()
+    print(f"[INFO] report rows: {done.rows:,}; cols: {len(done.columns)}")
+    print(f"[INFO] report written to: {done.path}")
+    return done.path
 
 
 if __name__ == "__main__":

@@ -18,7 +18,7 @@ from forecheck.operators import comparable, forecast, hierarchy
 from forecheck.plans.report import ForecastValidation
 from forecheck.session import shared_subdir
 from forecheck.sources import fixtures, sinks
-from forecheck.sources.tables import Tables
+from forecheck.sources.tables import Tables, load
 
 
 def report(spark: SparkSession, sf_dir: str) -> ForecastValidation:
@@ -48,20 +48,23 @@ def _default_with_null_code(r: ForecastValidation) -> DataFrame:
 
 
 def _report_export(r: ForecastValidation) -> DataFrame:
-    """Write the rollup to a fresh folder under the shared checkpoint folder
-    and read it back."""
+    """Publish the rollup in a fresh dated folder under the shared checkpoint folder,
+    as a file report, and read the published report back."""
     spark = r.t.spark
-    base = shared_subdir(spark, "exports", uuid.uuid4().hex)
-    path = sinks.report_path(base, dt.datetime.now(dt.timezone.utc))
-    sinks.export_with_profile(r.rollup(), path, "parquet")
-    return spark.read.parquet(path)
+    folder = sinks.report_path(shared_subdir(spark, "exports", uuid.uuid4().hex),
+                               dt.datetime.now(dt.timezone.utc))
+    sinks.publish_report(r.rollup(), folder, "csv")
+    return sinks.read_report(spark, folder)
 
 
 def _stored_report_profile(r: ForecastValidation) -> DataFrame:
-    """Store the rollup as a table, read that table whole and profile it."""
+    """Store the rollup as a named table, read that table whole by its name and
+    profile it."""
     spark = r.t.spark
     path = sinks.export_report(r.rollup(), shared_subdir(spark, "tables", uuid.uuid4().hex), "parquet")
-    return sinks.run_profile(spark.read.parquet(path).select("*"))
+    name = f"stored_report_{uuid.uuid4().hex}"
+    spark.read.parquet(path).createOrReplaceTempView(name)
+    return sinks.run_profile(load(spark, "", name).select("*"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -103,3 +103,72 @@ def test_export_job_on_role_tables_needs_and_uses_params(spark, small_report, ca
     with pytest.raises(ValueError, match="missing.*this_year.*unknown.*oops"):
         export_job.main([*base, "--params", json.dumps(
             {k: v for k, v in params.items() if k != "this_year"} | {"oops": 1})])
+
+
+def _folder(spark):
+    return shared_subdir(spark, "test-publish", uuid.uuid4().hex, "Forecast_Validation - 01 Jan 2026")
+
+
+def test_published_report_survives_a_failed_second_run(spark):
+    """The second run of a day dies in a task; the first report is still read."""
+    folder = _folder(spark)
+    assert sinks.published(spark, folder) == []
+    with pytest.raises(FileNotFoundError):
+        sinks.read_report(spark, folder)
+    first = spark.createDataFrame([("a", 1, dt.date(2026, 1, 1)), (None, 2, None)], "k string, v bigint, d date")
+    done = sinks.publish_report(first, folder, "csv")
+    assert (done.rows, done.columns) == (2, ("k", "v", "d"))
+    bad = spark.range(0, 1000, 1, 4).select(
+        F.lit("b").alias("k"), F.when(F.col("id") == 999, F.raise_error(F.lit("lost"))).otherwise(
+            F.col("id")).cast("bigint").alias("v"), F.lit(None).cast("date").alias("d"))
+    with pytest.raises(Exception, match="lost"):
+        sinks.publish_report(bad, folder, "csv")
+    back = sinks.read_report(spark, folder)
+    assert back.schema == first.schema
+    assert sorted(back.collect(), key=str) == sorted(first.collect(), key=str)
+    # the run dies after its data, while the manifest is written: still the first
+    (spark.createDataFrame([("c", 3, None)], first.schema).write.parquet(f"{folder}/attempt-late"))
+    half = f"{folder}/{sinks.MANIFESTS}/99999999T000000-late/_temporary/0"
+    spark.createDataFrame([("{}",)], "value string").write.text(half)
+    assert sinks.read_report(spark, folder).count() == 2
+    # a third run succeeds and replaces it; the first attempt stays on disk
+    third = sinks.publish_report(spark.createDataFrame([("z", 9, None)], first.schema), folder, "parquet")
+    assert [tuple(r) for r in sinks.read_report(spark, folder).collect()] == [("z", 9, None)]
+    assert [e.path for e in sinks.published(spark, folder)] == [third.path, done.path]
+
+
+def test_window_probes_prune_partitions_and_stop(spark, tmp_path):
+    """Every window is a filter that reaches the scan, below a limit of one."""
+    from dataclasses import replace
+
+    from conftest import SF_SMALL
+    from forecheck.plans import export_job
+    from forecheck.sources import fixtures
+    from forecheck.sources.staging import staged_tables
+
+    tables = staged_tables(spark, SF_SMALL, shared_subdir(spark, "test-stage", uuid.uuid4().hex))
+    probes = export_job.existence_probes(tables, fixtures.PARAMS)
+    assert len(probes) == 8 and export_job.empty_windows(tables, fixtures.PARAMS) == []
+    columns = {"recent": "fy_week_id", "recent_ly": "fy_week_id", "forward_ly": "fy_week_id",
+               "forward": "fiscal_year_week", "this_year": "fiscal_year", "last_year": "fiscal_year"}
+    for name, df in probes.items():
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Limit 1" in plan or "Limit limit=1" in plan or "limit=1" in plan, plan
+        if name in columns:
+            assert columns[name] in plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]
+        elif name == "plan_weeks":
+            assert "current_week" in plan[plan.index("PushedFilters"):plan.index("ReadSchema")]
+    wrong = replace(fixtures.PARAMS, last_year=1901, on_order_week=190001)
+    assert export_job.empty_windows(tables, wrong) == ["last_year", "on_order_week"]
+
+
+def test_second_export_of_a_day_is_published_beside_the_first(spark):
+    from forecheck.plans import export_job
+
+    out = shared_subdir(spark, "test-export-job", uuid.uuid4().hex)
+    for n in (1, 2):
+        spark.range(n).createOrReplaceTempView("report_of_a_day")
+        path = export_job.main(["--table", "report_of_a_day", "--out", out, "--format", "parquet"])
+        folder = path[:path.rindex("/attempt-")]
+        assert sinks.read_report(spark, folder).count() == n
+        assert len(sinks.published(spark, folder)) == n
