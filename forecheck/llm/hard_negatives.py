@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from forecheck.llm.common import stored, table
 
 BLOCK_ROWS = 65_536
+LEAST_BLOCK_ROWS = 1_024                # smaller blocks return nearly all they hold
 GROUP_ANCHORS = 4_096
 SCAN_STEPS = (4, 8, 16, 24, 32, 48)     # dimensions read before each pruning
 SCALE = 256
@@ -177,8 +178,8 @@ class Cells:
         spark = vectors.sparkSession
         self.parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
         n, n_anchors = vectors.count(), anchors.count()
-        # blocks for every task, more where they would pass BLOCK_ROWS
-        self.blocks = max(self.parts, -(-n // BLOCK_ROWS))
+        # blocks for every task where the rows suffice, more where they would pass BLOCK_ROWS
+        self.blocks = max(1, min(self.parts, n // LEAST_BLOCK_ROWS), -(-n // BLOCK_ROWS))
         self.groups = max(1, -(-n_anchors // GROUP_ANCHORS))
         self.vectors = (vectors.withColumn("block", _dealt(self.blocks))
                         .withColumn("group", _each(self.groups)))
