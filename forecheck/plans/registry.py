@@ -19,6 +19,7 @@ from forecheck.plans.report import ForecastValidation
 from forecheck.session import shared_subdir
 from forecheck.sources import fixtures, sinks
 from forecheck.sources.tables import Tables, load
+from forecheck.sources.weekly_sums import WeeklySums, weeks_of
 
 
 def report(spark: SparkSession, sf_dir: str) -> ForecastValidation:
@@ -67,6 +68,15 @@ def _stored_report_profile(r: ForecastValidation) -> DataFrame:
     return sinks.run_profile(load(spark, "", name).select("*"))
 
 
+def _actual_units_from_sums(r: ForecastValidation) -> DataFrame:
+    """The actuals windows from a table of weekly sums in a fresh shared folder: the
+    sums of last year's weeks are kept first, then a run adds the weeks of this year."""
+    spark = r.t.spark
+    sums = WeeklySums(spark, shared_subdir(spark, "weekly-sums", uuid.uuid4().hex))
+    sums.update(r.t.sales_weekly, weeks_of(r.t.sales_weekly, [r.p.recent_ly, r.p.forward_ly]))
+    return r.actual_units_from(sums)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "plan_snapshot": _q(lambda r: r.plan_base),
     "product_bridge": _q(lambda r: r.bridge),
@@ -99,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "units_forward_ly": _q(lambda r: r.units(r.p.forward_ly)),
     "units_forecast": _q(lambda r: r.fct_units),
     "actual_units": _q(lambda r: r.actual_units),
+    "actual_units_from_sums": _q(_actual_units_from_sums),
     "sku_explainability": _q(lambda r: r.final()),
     "on_order_join_own_brand": _q(lambda r: r.final("own_brand")),
     "explainability_rollup": _q(lambda r: r.rollup()),

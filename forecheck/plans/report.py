@@ -32,6 +32,7 @@ from forecheck.operators import (actuals, comparable, explain, forecast, hierarc
 from forecheck.operators.relational import Side, Sides, estimated_bytes
 from forecheck.operators.skew import HeavyKeys, heavy_keys
 from forecheck.sources.tables import Tables
+from forecheck.sources.weekly_sums import WeeklySums, weeks_of
 
 
 class ForecastValidation:
@@ -233,6 +234,18 @@ class ForecastValidation:
             {"ty_units": self.p.recent, "lt_units": self.p.recent_ly,
              "lf_units": self.p.forward_ly}, self.p.sales_sub_channel)
 
+    def actual_units_from(self, sums: WeeklySums) -> DataFrame:
+        """``actual_units`` from kept weekly sums: adds the weeks of the windows that the
+        table of sums lacks, then reads the sums instead of the sales."""
+        windows = (self.p.recent, self.p.recent_ly, self.p.forward_ly)
+        weeks = weeks_of(self.t.sales_weekly, windows)
+        sums.update(self.t.sales_weekly, weeks)
+        self._measure("active_rows", "comparable_skus")
+        return actuals.window_units_multi(
+            sums.read(weeks), self.comparable_keys, self.active,
+            {"ty_units": self.p.recent, "lt_units": self.p.recent_ly,
+             "lf_units": self.p.forward_ly}, self.p.sales_sub_channel)
+
     # ---- supply ----------------------------------------------------------------
     @cached_property
     def _heavy(self) -> dict[str, HeavyKeys | None]:

@@ -25,6 +25,12 @@ RECOMMENDED_CONF = {
     # let AQE coalesce the partitions of persisted (size-checked) small sides
     "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    # a dimension too large to broadcast still cuts the fact: Spark builds a Bloom
+    # filter of its join keys and tests them right above the fact's scan, before the
+    # shuffle; by default only for dimensions of 10 MB at most
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "100GB",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1GB",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
 }
