@@ -8,6 +8,7 @@ of packing the stream up to cut j,
 
     f[j] = cut_cost[j] + min( size - p[j] + min over p[i] >= p[j] - size of (f[i] + p[i]),
                               min over powers of two k of f[i] with p[i] = p[j] - k )
+                  + the cost of a window
 
 The first part is a window padded to its full size: the inner minimum runs over a
 sliding window of cuts, kept in a monotone queue, so each cut enters and leaves it
@@ -29,33 +30,40 @@ anew; results do not depend on it).
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
-from collections import deque
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from forecheck.llm.common import pieces, table
+from forecheck.llm.common import slices, table
 
 SEQUENCE = 2048
 END_ID = 1
 SENTENCE_CUT = 8.0      # tokens of padding that a cut at a sentence's end is worth
 INSIDE_CUT = 48.0       # the same for a cut inside a sentence
 WINDOW_COST = 2.0       # of each window, so that equal paddings prefer fewer windows
+LEAST_WINDOW = 64       # shortest window that is cut to a power of two on purpose
 LONG_SENTENCE = 256
 INSIDE_STEP = 64
 SEGMENT = 1 << 18
-STORE_PARTS = 600_000
-TEXT_PIECE = 1 << 20
+STORE_PARTS = 1_200_000
+GROUP_BYTES = 8 << 20
 
 _MARK = "\0"
-_WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+# byte-level spelling: a printable byte is its own character, the others follow from
+# U+0100 on in order
+_PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_SPELL = {b: 0x100 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+_SPELLING = {chr(b): chr(c) for b, c in _SPELL.items()}
+_TAIL = ".,;:!?"
+_LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 _STOPS = (".", "!", "?", "…", "。", "！", "？")
 _CLOSING = "\"')]}»”’"
 
@@ -65,96 +73,128 @@ class Parts:
 
     A part made of Latin letters and a tail of ASCII punctuation is two units, its
     lower-cased letters (the tokenizer lower-cases and takes letters apart) and its
-    tail; any other part is one unit. The library sees each new unit once.
+    tail; any other part is one unit. The library sees each new unit once; words go to
+    its model without the normalizers and the split rule, which they do not need.
     """
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"   # tasks are the parallelism
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True       # their strings are ordinary text
-        self.mark = self._encode(_MARK)
+        self.whole = Tokenizer.from_str(definition)
+        self.whole.encode_special_tokens = True           # their strings are ordinary text
+        # the same model for lower-cased words whose bytes are spelled out already
+        plain = json.loads(definition) | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}}
+        self.plain = Tokenizer.from_str(json.dumps(plain))
+        self.plain.encode_special_tokens = True
         self.clear()
 
     def clear(self) -> None:
         # nothing between two spaces; a line feed ends a sentence
-        self.place = {"": 0, "\n": 1}
-        self.pair, self.ends = np.zeros((2, 2), np.int64), np.array([False, True])
+        self.place = _Numbers({"": 0, "\n": 1})
+        self.ends = np.array([False, True])
+        self.offsets, self.ids = np.zeros(3, np.int64), np.zeros(0, np.uint32)
         self.unit = {"": 0}
-        self.begins, self.counts = np.zeros(1, np.int64), np.zeros(1, np.int64)
-        self.ids = np.zeros(0, np.uint32)
-
-    def _encode(self, text: str) -> np.ndarray:
-        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
-        return np.array(found, np.uint32)
-
-    def _learn_units(self, new: list[str]) -> None:
-        """One call for all: the units with a mark between them."""
-        alone = [u for u in new if _MARK in u or len(self.mark) != 1]
-        new = [u for u in new if _MARK not in u] if len(self.mark) == 1 else []
-        flat = self._encode(f" {_MARK} ".join(new))
-        marks = np.flatnonzero(flat == self.mark[0]) if len(new) > 1 else np.zeros(0, np.int64)
-        if len(marks) != max(len(new) - 1, 0):            # a unit yields the mark's id: one by one
-            alone, new, flat, marks = alone + new, [], flat[:0], marks[:0]
-        found = [self._encode(u) for u in alone]
-        borders = np.concatenate(([-1], marks, [len(flat)])) if new else np.array([-1])
-        counts = np.concatenate((np.diff(borders) - 1, [len(x) for x in found])).astype(np.int64)
-        keep = np.ones(len(flat), bool)
-        keep[marks] = False
-        self.unit.update(zip(new + alone, range(len(self.unit), len(self.unit) + len(counts))))
-        self.begins = np.concatenate((self.begins, len(self.ids) + np.cumsum(counts) - counts))
-        self.counts = np.concatenate((self.counts, counts))
-        self.ids = np.concatenate((self.ids, flat[keep], *found))
+        self.unit_offsets, self.unit_ids = np.zeros(2, np.int64), np.zeros(0, np.uint32)
+
+    def _learn_units(self, new: list[str], tokenizer, spelled: list[str]) -> None:
+        """One call for all: the units, as ``spelled``, with a mark between them."""
+        def encode(text: str) -> np.ndarray:
+            return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+
+        mark = _MARK if tokenizer is self.whole else _SPELLING[_MARK]
+        flat, sign = encode(f" {mark} ".join(spelled)), encode(mark)
+        marks = np.flatnonzero(flat == sign[0]) if len(sign) == 1 and len(new) > 1 else flat[:0]
+        if len(marks) == len(new) - 1:
+            counts = np.diff(np.concatenate(([-1], marks, [len(flat)]))) - 1
+            flat = np.delete(flat, marks)
+        else:                                             # a unit holds the mark: one by one
+            found = [encode(u) for u in spelled]
+            counts, flat = np.array([len(x) for x in found], np.int64), np.concatenate(found)
+        self.unit.update(zip(new, range(len(self.unit), len(self.unit) + len(new))))
+        self.unit_offsets = _longer(self.unit_offsets, counts)
+        self.unit_ids = np.concatenate((self.unit_ids, flat))
 
     def learn(self, new: list[str]) -> None:
-        halves = [(m[1].lower(), m[2]) if m else (p, "") for p, m in zip(new, map(_WORD.fullmatch, new))]
-        units = dict.fromkeys(u for pair in halves for u in pair)
-        fresh = [u for u in units if u not in self.unit]
+        halves, words, stops = [], set(), np.empty(len(new), bool)
+        for k, part in enumerate(new):
+            word = part.rstrip(_TAIL)
+            tail = part[len(word):]
+            if word.isalpha() and (word.isascii() or _LATIN.fullmatch(word)):
+                word = word.lower()
+                words.add(word)
+                halves += (word, tail)
+                stops[k] = tail.endswith(_STOPS)
+            else:
+                halves += (part, "")
+                stops[k] = part.rstrip(_CLOSING).endswith(_STOPS)
+        known = self.unit
+        fresh = [w for w in words if w not in known]
         if fresh:
-            self._learn_units(fresh)
-        pair = np.array([(self.unit[a], self.unit[b]) for a, b in halves], np.int64)
-        stops = np.fromiter((p.rstrip(_CLOSING).endswith(_STOPS) for p in new), bool, len(new))
-        self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
-        self.pair = np.concatenate((self.pair, pair))
+            self._learn_units(fresh, self.plain, [
+                w if w.isascii() else w.encode().decode("latin-1").translate(_SPELL) for w in fresh])
+        rest = [u for u in set(halves) if u not in known]
+        marked = [u for u in rest if _MARK in u]
+        for units in ([u for u in rest if _MARK not in u], *([u] for u in marked)):
+            if units:
+                self._learn_units(units, self.whole, units)
+        at = np.fromiter(map(self.unit.__getitem__, halves), np.int64, len(halves))
+        ids, ends = _taken(self.unit_offsets, self.unit_ids, at)
+        self.offsets = _longer(self.offsets, np.diff(ends[::2]))
+        self.ids = np.concatenate((self.ids, ids))
         self.ends = np.concatenate((self.ends, stops))
 
-    def _group(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    def _group(self, texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
         if len(self.place) > STORE_PARTS:
             self.clear()
-        parts = [t.replace("\n", " \n ").split(" ") for t in texts]
-        new = list(set().union(*parts).difference(self.place))
-        if new:
-            self.learn(new)
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-        at = np.fromiter(map(self.place.__getitem__, chain.from_iterable(parts)), np.int64,
-                         int(sizes.sum()))
-        units = self.pair[at].ravel()
-        counts = self.counts[units]
-        total = np.cumsum(counts)
-        where = np.arange(int(total[-1])) + np.repeat(self.begins[units] - total + counts, counts)
-        ids, total, ends = self.ids[where], total[1::2], self.ends[at]
-        out, lo, base = [], 0, 0
-        for n in sizes.tolist():
-            last = int(total[lo + n - 1])
-            out.append((ids[base:last], total[lo:lo + n][ends[lo:lo + n]] - base))
-            lo, base = lo + n, last
-        return out
-
-    def __call__(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(ids, numbers of ids before each sentence end) of every whole text."""
-        group, size = [], 0
-        for text in texts:
-            if size + len(text) > TEXT_PIECE and group:
-                yield from self._group(group)
-                group, size = [], 0
-            if len(text) > TEXT_PIECE:
-                yield _joined([self._group([x])[0] for x in _text_pieces(text)])
+        # ASCII letters lower-cased here (the tokenizer does so anyway): fewer parts
+        parts = pc.split_pattern(pc.replace_substring(pc.ascii_lower(texts), "\n", " \n "), " ")
+        coded = parts.flatten().dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        known = len(self.place)
+        place = np.fromiter(map(self.place.__getitem__, names), np.int64, len(names))
+        if len(self.place) > known:
+            self.learn([names[k] for k in np.flatnonzero(place >= known).tolist()])
+        at = place[coded.indices.to_numpy()]
+        ids, total = _taken(self.offsets, self.ids, at)
+        ends = np.flatnonzero(self.ends[at])
+        rows = parts.offsets.to_numpy() - parts.offsets[0].as_py()
+        first, after = total[rows], total[ends + 1]
+        cut = np.searchsorted(ends, rows)
+        return [(ids[a:b], after[c:d] - a) for a, b, c, d in zip(
+            first[:-1].tolist(), first[1:].tolist(), cut[:-1].tolist(), cut[1:].tolist())]
+
+    def __call__(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(ids, numbers of ids before each sentence end) of every whole text; NULL
+        counts as empty."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        sizes = pc.binary_length(texts).to_numpy()
+        offsets = np.concatenate(([0], np.cumsum(sizes)))
+        for lo, hi in slices(offsets, GROUP_BYTES):
+            if sizes[lo] > GROUP_BYTES:          # a long text is a slice of its own
+                yield _joined([self._group(pa.array([x], pa.large_string()))[0]
+                               for x in _text_pieces(texts[lo].as_py())])
             else:
-                group.append(text)
-                size += len(text)
-        if group:
-            yield from self._group(group)
+                yield from self._group(texts.slice(lo, hi - lo))
+
+
+def _longer(offsets: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    return np.concatenate((offsets, offsets[-1] + np.cumsum(counts)))
+
+
+def _taken(offsets: np.ndarray, values: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lists ``at`` of a store of lists, end to end, and their offsets."""
+    kind = pa.LargeListArray.from_arrays(pa.array(offsets), pa.array(values))
+    found = kind.take(pa.array(at))
+    return found.values.to_numpy(), found.offsets.to_numpy()
+
+
+class _Numbers(dict):
+    """Numbers keys in the order in which they are first asked for."""
+
+    def __missing__(self, key):
+        number = self[key] = len(self)
+        return number
 
 
 def _joined(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -167,7 +207,7 @@ def _text_pieces(text: str) -> Iterator[str]:
     """The text in pieces that end at a space, to keep the lists of parts small."""
     lo = 0
     while lo <= len(text):
-        hi = text.find(" ", lo + TEXT_PIECE)
+        hi = text.find(" ", lo + GROUP_BYTES)
         hi = len(text) if hi < 0 else hi
         yield text[lo:hi]
         lo = hi + 1
@@ -202,38 +242,42 @@ def best_cuts(places: np.ndarray, costs: np.ndarray, size: int = SEQUENCE,
     # for every cut the earlier cuts that lie a power of two before it
     at = np.full(last + 1, -1, np.int64)
     at[p] = np.arange(n)
-    exact: list[list[int]] = [[] for _ in range(n)]
-    k = 1
+    exact: dict[int, list[int]] = {}
+    k = LEAST_WINDOW
     while k < size:
         to = np.flatnonzero(p >= k)
         source = at[p[to] - k]
         for j, i in zip(to[source >= 0].tolist(), source[source >= 0].tolist()):
-            exact[j].append(i)
+            exact.setdefault(j, []).append(i)
         k *= 2
-    p_list, c_list = p.tolist(), [0.0, *costs.tolist()]
-    f, back, keys = [0.0] * n, [0] * n, [0.0] * n
-    queue = deque([0])
-    for j in range(1, n):
-        here = p_list[j]
-        while p_list[queue[0]] < here - size:
-            queue.popleft()
-        i = queue[0]
-        least = keys[i] + size - here
-        for e in exact[j]:
-            if f[e] < least:
-                least, i = f[e], e
-        f[j], back[j] = least + WINDOW_COST + c_list[j], i
-        key = keys[j] = f[j] + here
-        while queue and keys[queue[-1]] > key:
-            queue.pop()
+    # the queue: cuts with ascending f + p, as three lists read from ``head`` on
+    queue, places_in, keys = [0], [0], [0.0]
+    head, f, back = 0, [0.0], [0]
+    for j, here, cost in zip(range(1, n), p[1:].tolist(), costs.tolist()):
+        while places_in[head] < here - size:
+            head += 1
+        i = queue[head]
+        least = keys[head] + size - here
+        if j in exact:
+            for e in exact[j]:
+                if f[e] < least:
+                    least, i = f[e], e
+        least += WINDOW_COST + cost
+        f.append(least)
+        back.append(i)
+        key = least + here
+        while len(keys) > head and keys[-1] > key:
+            del queue[-1], places_in[-1], keys[-1]
         queue.append(j)
+        places_in.append(here)
+        keys.append(key)
     j = n - 1
     if not to_end:
         late = int(np.searchsorted(p, last - size, side="right"))
         j = min(range(max(late, 1), n), key=f.__getitem__)
     total, cuts = f[j], []
     while j:
-        cuts.append(p_list[j])
+        cuts.append(int(p[j]))
         j = back[j]
     return cuts[::-1], total
 
@@ -349,10 +393,9 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays(columns, names)
 
         end = np.array([end_id], np.uint32)
-        for batch in pieces(batches):
+        for batch in batches:
             id_kind = batch.schema.field(0).type
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for carried, (ids, ends) in zip(batch.column(0).to_pylist(), parts(texts)):
+            for carried, (ids, ends) in zip(batch.column(0).to_pylist(), parts(batch.column(1))):
                 stream.add(carried, np.concatenate((ids, end)), ends)
                 if stream.length >= SEGMENT:
                     yield from settled(False)
