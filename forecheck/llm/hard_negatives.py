@@ -36,7 +36,7 @@ from forecheck.llm.common import stored, table
 BLOCK_ROWS = 65_536
 LEAST_BLOCK_ROWS = 1_024                # smaller blocks return nearly all they hold
 GROUP_ANCHORS = 4_096
-SCAN_STEPS = (4, 8, 16, 24, 32, 48)     # dimensions read before each pruning
+SCAN_STEPS = (8, 16, 32, 40, 48, 56)    # dimensions read before each pruning
 SCALE = 256
 N_POSITIVES = 5
 N_NEGATIVES = 10

@@ -213,16 +213,17 @@ def _text_pieces(text: str) -> Iterator[str]:
         lo = hi + 1
 
 
-def cut_places(n_ids: int, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def cut_places(n_ids: int, ends: np.ndarray, size: int = SEQUENCE) -> tuple[np.ndarray, np.ndarray]:
     """Places (ids before the cut) where a document of ``n_ids`` ids, its end id
     included, may be cut, and the penalty of each; the last is its end."""
     ends = np.unique(ends[(ends > 0) & (ends < n_ids - 1)])
     marks = np.concatenate(([0], ends, [n_ids]))
     gaps = np.diff(marks)
-    extra = np.where(gaps > LONG_SENTENCE, (gaps - 1) // INSIDE_STEP, 0)
+    step = min(INSIDE_STEP, size)
+    extra = np.where(gaps > min(LONG_SENTENCE, size), (gaps - 1) // step, 0)
     first = np.repeat(marks[:-1], extra)
     steps = np.arange(int(extra.sum())) - np.repeat(np.cumsum(extra) - extra, extra) + 1
-    inside = first + steps * INSIDE_STEP
+    inside = first + steps * step
     places = np.concatenate((ends, inside, [n_ids]))
     costs = np.concatenate((np.full(len(ends), SENTENCE_CUT), np.full(len(inside), INSIDE_CUT), [0.0]))
     order = np.argsort(places, kind="stable")
@@ -293,7 +294,7 @@ class Stream:
         self.length = 0
 
     def add(self, carried, ids: np.ndarray, ends: np.ndarray) -> None:
-        places, costs = cut_places(len(ids), ends)
+        places, costs = cut_places(len(ids), ends, self.size)
         self.docs.append((carried, ids, 0))
         self.places.append(places + self.length)
         self.costs.append(costs)

@@ -276,6 +276,36 @@ def test_held_out_accuracy_and_defined_cases(spark, odd_docs, no_docs):
     assert toxicity.score(no_docs, model).count() == 0
 
 
+def test_long_ordinary_texts_are_not_rejected():
+    """Evidence of ordinary windows falls with the length of a text; a toxic text
+    stays toxic at any length."""
+    rows = _labelled(1200, 4)
+    model = toxicity.fit_texts([t for _, t, y in rows if y], [t for _, t, y in rows if not y])
+    scorer = toxicity.Scorer(model)
+    fresh = _labelled(3000, 11)
+    alone = scorer.scores(pa.array([t for _, t, _ in fresh]))
+    ordinary = [t for (_, t, y), p in zip(fresh, alone) if not y and p < 0.5]
+    bad = [t for _, t, y in fresh if y]
+    assert model.weights[0] < 0 < max(model.weights)
+    for size in (20_000, 200_000, 1_000_000):
+        long = lambda texts: " ".join(texts)[:size]
+        low, high = scorer.scores(pa.array([long(ordinary * 4), long(bad * 20)]))
+        assert low < 0.01 and high > 0.99, (size, low, high)
+
+
+def test_copies_do_not_mark_a_gram():
+    """A toxic text that is copied many times says no more than one."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7))
+    copied = " ".join(word() for _ in range(60))
+    toxic = [copied] * 60 + [" ".join([*(word() for _ in range(30)), "blockhead", word()]) for _ in range(60)]
+    ordinary = [" ".join(word() for _ in range(40)) for _ in range(300)]
+    fold = lambda texts: [toxicity._fold(t) for t in texts]
+    contexts = [[toxicity._contexts(t) for t in fold(x)] for x in (toxic, ordinary)]
+    segments = toxicity._toxic_segments(fold(toxic), *contexts)
+    assert segments and all(b"block" in s or b"head" in s or b"ckhe" in s for s in segments)
+
+
 def test_labels_of_held_out_rows_are_not_read(spark):
     docs = spark.createDataFrame([(k, f"text number {k}") for k in range(200)], "doc_id bigint, text string")
     labels = spark.createDataFrame([(k, k % 2) for k in range(200)], "doc_id bigint, toxic int")
