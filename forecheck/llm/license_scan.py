@@ -9,10 +9,10 @@ template, place), sent to every task. A hit of a text's fingerprint gives a
 diagonal; hits of one template on near diagonals and at near places are one
 candidate, whose words are aligned with the template inside a band around the
 diagonal (match 2, other word or gap -1, local). The text before and after is
-aligned again, until no hit is left. A match is taken only if the phrases that tell
-its licence from others (name, variant, version) stand in its span word by word; of
-matches that overlap the best score stays. It reports the share of template words
-found and its span in the text.
+aligned again, until no hit is left. A match of a notice or header is taken only if
+the phrases that name its licence (name, variant, version) stand in its span word by
+word; whole texts compete: of matches that overlap the best score stays. It reports
+the share of template words found and its span in the text.
 
 One pass over the rows; no shuffle. Work follows the text, candidates included:
 every hit is aligned, none is capped. A candidate is passed over only if too few
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from forecheck.llm.common import RangeHash, mix, sliced, table, word_spans
-from forecheck.llm.license_templates import DISTINCT, TEMPLATES, TITLES
+from forecheck.llm.license_templates import DISTINCT, FOREIGN, TEMPLATES, TITLES
 
 GRAM = 3                # words of a fingerprint; of two neighbours one stays
 BAND = 6                # words an alignment may drift from its diagonal
@@ -104,7 +104,7 @@ class Index:
     their distinguishing phrases (words, template places they concern)."""
 
     def __init__(self, templates: dict[str, str], distinct: dict[str, tuple[str, ...]] | None = None,
-                 titles: dict[str, str] | None = None):
+                 titles: dict[str, str] | None = None, foreign: dict[str, tuple[str, ...]] | None = None):
         self.names = sorted(templates)
         raw = [templates[n].encode() for n in self.names]
         data = np.frombuffer(b"".join(raw), np.uint8)
@@ -123,11 +123,16 @@ class Index:
             own = [(p, False) for p in (distinct or {}).get(name, ())]
             own += [(titles[name], True)] if name in (titles or {}) else []
             for phrase, title in own:
-                part = np.frombuffer(phrase.encode(), np.uint8)
-                part = _words(part, np.array([0, len(part)]))[3]
+                part = self._phrase(phrase)
                 at = int(_runs(self.words[k], part)[0]) if title else 0
                 end = at + len(part) if title else len(self.words[k])
                 self.phrases[k].append((part, at, end))
+        self.foreign = [[self._phrase(p) for p in (foreign or {}).get(n, ())] for n in self.names]
+
+    @staticmethod
+    def _phrase(text: str) -> np.ndarray:
+        part = np.frombuffer(text.encode(), np.uint8)
+        return _words(part, np.array([0, len(part)]))[3]
 
 
 def align(template: np.ndarray, text: np.ndarray, diagonal: int, band: int = BAND):
@@ -177,13 +182,15 @@ def _in_band(template: np.ndarray, text: np.ndarray, diagonal: int, band: int) -
 
 
 def _told_apart(index: Index, template: int, words: np.ndarray, versioned: np.ndarray, got: tuple) -> bool:
-    """Whether the phrases of the template stand in the span of a match."""
+    """Whether the phrases of the template stand in the span of a match, and no phrase
+    of another licence does."""
+    span = words[got[2]:got[3] + 1]
     for phrase, at, end in index.phrases[template]:
         if got[4] < end and at <= got[5]:
-            places = got[2] + _runs(words[got[2]:got[3] + 1], phrase)
+            places = got[2] + _runs(span, phrase)
             if not (~versioned[places + len(phrase) - 1]).any():
                 return False
-    return True
+    return not any(len(_runs(span, phrase)) for phrase in index.foreign[template])
 
 
 def _occurrences(index: Index, template: int, words: np.ndarray, versioned: np.ndarray,
@@ -250,7 +257,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str =
     than three words has no fingerprint and is never found. ``templates`` of one's
     own have no distinguishing phrases.
     """
-    known = (TEMPLATES, DISTINCT, TITLES) if templates is None else (templates, {}, {})
+    known = (TEMPLATES, DISTINCT, TITLES, FOREIGN) if templates is None else (templates, {}, {}, {})
     picked = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
     id_type = picked.schema["id"].dataType.simpleString()
 

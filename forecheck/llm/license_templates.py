@@ -1,9 +1,11 @@
 """Licence templates (fixed values: public notices, headers and whole texts).
 
-``DISTINCT`` names per template the phrases that tell it from other licences and
-versions: each must stand, word by word, inside the matched span. A phrase of
-``TITLES`` must do so only where the match reaches the title, so a whole text
-without its title is still found.
+``DISTINCT`` names per notice or header the phrases that name its licence and version:
+each must stand, word by word, inside the matched span. A phrase of ``TITLES`` must do
+so only where the match reaches the title, so a whole text without its title is
+still found. Whole texts have no such phrases: where several match, the better
+alignment wins. ``FOREIGN`` names phrases of licences whose whole texts are not among
+the templates; a match whose span holds one is not of the template.
 """
 
 from forecheck.llm.license_texts import TEXTS
@@ -82,23 +84,18 @@ WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
 }
 
 DISTINCT: dict[str, tuple[str, ...]] = {
-    "MIT": ("the above copyright notice and this permission notice",),
-    "MIT-text": ("the above copyright notice and this permission notice",),
-    "ISC": ("provided that the above copyright notice",),
-    "ISC-text": ("provided that the above copyright notice",),
     "MIT-notice": ("MIT License",),
     "Apache-2.0": ("Apache License, Version 2.0",),
     "Apache-2.0-notice": ("Apache License, Version 2.0",),
     "MPL-2.0": ("Mozilla Public License, v. 2.0",),
     "CC0-notice": ("CC0 1.0",),
-    "Apache-2.0-text": ("Grant of Patent License",),
-    "GPL-2.0-text": ("terms of this General Public License",),
-    "GPL-3.0-text": ("Use with the GNU Affero General Public License",),
-    "LGPL-2.0-text": ("this Library General Public License",),
-    "LGPL-2.1-text": ("this Lesser General Public License",),
     "LGPL-3.0-text": ("GNU Lesser General Public License",),
 }
 
+FOREIGN: dict[str, tuple[str, ...]] = {
+    "GPL-3.0-text": ("Remote Network Interaction",),
+}
+
 TITLES: dict[str, str] = {
     "Apache-2.0-text": "Apache License Version 2.0, January 2004",
     "CC0-1.0-text": "CC0 1.0 Universal",
@@ -155,8 +152,8 @@ CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING
 USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
 _NAMES = """ Neither the name of the copyright holder nor the names of its contributors may be used to
 endorse or promote products derived from this software without specific prior written permission."""
-_add("BSD-2-Clause-text", TEMPLATES["BSD"] + _AS_IS, "provided with the distribution. THIS SOFTWARE")
-_add("BSD-3-Clause-text", TEMPLATES["BSD"] + _NAMES + _AS_IS, "to endorse or promote products")
+_add("BSD-2-Clause-text", TEMPLATES["BSD"] + _AS_IS)
+_add("BSD-3-Clause-text", TEMPLATES["BSD"] + _NAMES + _AS_IS)
 _add("BSD-notice", "Released under the BSD License.", "BSD License")
 for _n in "234":
     _add(f"BSD-{_n}-Clause-notice", f"Released under the BSD {_n}-Clause License.", f"BSD {_n}-Clause")

@@ -217,6 +217,24 @@ def test_licenses_are_told_apart(spark):
             assert f" {' '.join(_fold(phrase))} " in f" {' '.join(_fold(TEMPLATES[name]))} "
 
 
+@pytest.mark.parametrize("share", [0.05, 0.10])
+def test_altered_licenses_are_found(spark, share):
+    """Whole texts with a share of their words changed behind the first twelve."""
+    from forecheck.llm.license_templates import TEMPLATES
+
+    names = ["MIT-text", "Apache-2.0-text", "BSD-3-Clause-text"]
+    rows = []
+    for name in names:
+        for seed in range(6):
+            rng, words = random.Random(seed), TEMPLATES[name].split()
+            for k in rng.sample(range(12, len(words)), int(share * len(words))):
+                words[k] = "changed"
+            rows.append((len(rows), name, "some text before " + " ".join(words) + " and after"))
+    docs = spark.createDataFrame(rows, "doc_id int, name string, text string")
+    got = {r.doc_id: r.licenses for r in license_scan.scan(docs).collect()}
+    assert [(n, got[k]) for k, n, _ in rows] == [(n, n) for _, n, _ in rows]
+
+
 def test_adjacent_notices_are_all_found(spark):
     lines = ["Released under the MIT License.\n", "Licensed under CC BY 4.0.\n",
              "Licensed under the Apache License, Version 2.0.\n"]
