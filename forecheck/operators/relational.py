@@ -52,13 +52,13 @@ class Side:
 class Sides:
     """Measures join sides and remembers what it persisted.
 
-    A candidate side is probed first: its rows and bytes are summed up to one row
-    beyond ``sizing.broadcast_max_rows`` (each task stops there). A side within that and
-    ``sizing.broadcast_max_bytes`` fits: it is persisted (MEMORY_AND_DISK) and hinted, so the
-    join reads a copy that is computed once; lost blocks are recomputed from
-    lineage. A side that does not fit is never cached and is returned as it was: the
-    join then shuffles both sides, and adaptive execution still splits skewed
-    partitions.
+    A candidate side is read up to one row beyond ``sizing.broadcast_max_rows`` (each
+    task stops there); that piece is persisted (MEMORY_AND_DISK) and summed up. If it is
+    within the rows and ``sizing.broadcast_max_bytes``, it is the whole side: it is hinted
+    and the join reads it, so a side is computed once; lost blocks are recomputed
+    from lineage. Otherwise the piece is released and the side is returned as it was:
+    it is never cached, the join shuffles both sides, and adaptive execution still
+    splits skewed partitions.
     """
 
     def __init__(self, sizing: Sizing = DEFAULT_SIZING):
@@ -71,15 +71,15 @@ class Sides:
         self.kept.append(kept)
         return kept
 
-    def probe(self, df: DataFrame) -> DataFrame:
-        """One row (n, size): rows, at most one beyond the bound, and their bytes."""
-        return (df.select(_row_bytes(df).alias("size")).limit(self.sizing.broadcast_max_rows + 1)
-                .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("size")))
-
     def check(self, df: DataFrame) -> Side:
-        found = self.probe(df).first()
-        fits = found.n <= self.sizing.broadcast_max_rows and found.size <= self.sizing.broadcast_max_bytes
-        return Side(self.keep(df), True) if fits else Side(df, False)
+        piece = df.limit(self.sizing.broadcast_max_rows + 1).persist(StorageLevel.MEMORY_AND_DISK)
+        found = piece.agg(F.count(F.lit(1)).alias("n"),
+                          F.coalesce(F.sum(_row_bytes(piece)), F.lit(0)).alias("size")).first()
+        if found.n <= self.sizing.broadcast_max_rows and found.size <= self.sizing.broadcast_max_bytes:
+            self.kept.append(piece)
+            return Side(piece, True)
+        piece.unpersist()
+        return Side(df, False)
 
     def check_all(self, frames: dict[str, DataFrame]) -> dict[str, Side]:
         """Measure several sides at the same time."""
