@@ -1,17 +1,22 @@
 """Toxicity by compression distance: two zstandard dictionaries, one score.
 
-* ``fit`` learns from a bounded sample of labelled rows. The ordinary dictionary
-  is trained by zstandard on windows of ordinary texts. The toxic dictionary
-  holds the same base preceded by segments of toxic texts: runs of byte 5-grams
-  that occur in clearly more toxic than ordinary texts (document frequencies, a
-  two-proportion z test). The shared base makes everyday text compress alike
-  under both, so a window's gain, ``length(ordinary) - length(toxic)``, comes
-  from toxic segments.
-* Calibration uses the half of the sample the dictionaries have not seen: a
-  table of log-likelihood ratios per positive gain (the evidence of a window),
-  and a logistic curve over a text's evidence and its number of windows. The
-  sample is weighted to the class shares of all training rows, so a score means
-  the same probability at every table size.
+* ``fit`` learns from a bounded sample of labelled rows. The toxic dictionary holds
+  segments of toxic texts: runs of byte 5-grams that make up a clearly larger share
+  of toxic than of ordinary texts. A gram counts once per context (the four bytes
+  on both sides), so copies of a text count once and long texts by what they say.
+  Behind the segments
+  both dictionaries hold the same base, trained by zstandard on the windows of
+  ordinary texts that hold none of the segments. The shared base makes everyday text
+  compress alike under both, so a window's gain, ``length(ordinary) -
+  length(toxic)``, comes from toxic segments.
+* Calibration is cross-fitted: each half of the sample is measured with the
+  dictionaries of the other half, the final dictionaries come from all of it. A
+  window's evidence is the log-likelihood ratio of its gain; windows without a gain
+  count against toxicity, so the evidence of ordinary text falls with its length
+  and a long text needs toxic windows at the rate of toxic texts. A logistic curve
+  over a text's evidence and its number of windows gives the score. The sample is
+  weighted to the class shares of all training rows, so a score means the same
+  probability at every table size.
 * ``score`` cuts every whole text into overlapping windows, compresses each
   under both dictionaries and adds the evidence up. One pass, no shuffle.
 
@@ -30,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecheck.llm.common import table, utf8
+from forecheck.llm.common import mix, table, utf8
 
 # bounds of the fitting sample (rows per class, bytes of a text)
 SAMPLE_TOXIC = 1200
@@ -42,12 +47,14 @@ STEP = 118              # consecutive windows share 10 bytes, so no short word i
 BASE_BYTES = 4096       # shared part of both dictionaries
 SEGMENT_BYTES = 4096    # toxic segments in front of it
 GRAM = 5
-MIN_Z = 6.0             # z score of a gram's document frequencies
-MIN_TEXTS = 5           # toxic texts that hold the gram
-MIN_RATIO = 8.0         # share of toxic over share of ordinary texts
+MIN_Z = 6.0             # z score of a gram's shares of contexts
+MIN_TIMES = 10          # contexts of the gram in toxic texts
+MIN_RATIO = 8.0         # share of toxic over share of ordinary contexts
+BODY = 5                # bytes of a segment that no window of the base may hold
 GAINS = (-20, 40)       # gains are clipped to this range
 PRIOR_WINDOWS = 50.0    # weight of the pooled share in the ratio of a gain
 
+_GOLD = 0x9E3779B97F4A7C15
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
 
@@ -75,25 +82,41 @@ def _grams(raw: bytes) -> np.ndarray:
     return out
 
 
-def _text_counts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    found = [np.unique(_grams(t)) for t in texts]
-    return np.unique(np.concatenate(found), return_counts=True)
+def _contexts(raw: bytes) -> np.ndarray:
+    """The grams of a text, each with 24 hash bits of the bytes beside it."""
+    own = _grams(raw)
+    padded = np.pad(own, GRAM - 1)
+    beside = mix(padded[:len(own)] * np.uint64(_GOLD) ^ mix(padded[2 * (GRAM - 1):]))
+    return np.unique(own << np.uint64(24) | beside >> np.uint64(40))
 
 
-def _toxic_segments(toxic: list[bytes], ordinary: list[bytes]) -> bytes:
-    """Segments of toxic texts whose grams ordinary texts hardly have, the most
+def _counts(contexts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, int]:
+    """Grams, the different contexts of each, and all contexts. What copies of a
+    text repeat counts once. Taken by ranges of values, to keep the temporaries small."""
+    found, total = [], 0
+    for first in range(0, 256, 8):
+        low, high = np.uint64(first << 56), np.uint64((first + 7 << 56) + (1 << 56) - 1)
+        cut = [c[np.searchsorted(c, low):np.searchsorted(c, high, side="right")] for c in contexts]
+        every = np.unique(np.concatenate(cut))
+        total += len(every)
+        found.append(np.unique(every >> np.uint64(24), return_counts=True))
+    grams, counts = (np.concatenate(x) for x in zip(*found))
+    return grams, counts, total
+
+
+def _toxic_segments(toxic: list[bytes], toxic_contexts: list, ordinary_contexts: list) -> list[bytes]:
+    """Segments of toxic texts whose grams ordinary texts hardly hold, the most
     frequent last (nearest), each new gram once."""
-    grams, times = _text_counts(toxic)
-    others, counts = _text_counts(ordinary)
+    grams, times, nt = _counts(toxic_contexts)
+    others, counts, no = _counts(ordinary_contexts)
     at = np.minimum(np.searchsorted(others, grams), len(others) - 1)
     other = np.where(others[at] == grams, counts[at], 0)
-    nt, no = len(toxic), len(ordinary)
     p, q = times / nt, other / no
     share = (times + other) / (nt + no)
-    z = (p - q) / np.sqrt(share * (1 - share) * (1 / nt + 1 / no) + 1e-12)
-    marked = grams[(z >= MIN_Z) & (times >= MIN_TEXTS) & (p > MIN_RATIO * q)]
+    z = (p - q) / np.sqrt(share * (1 - share) * (1 / nt + 1 / no) + 1e-18)
+    marked = grams[(z >= MIN_Z) & (times >= MIN_TIMES) & (p > MIN_RATIO * q)]
     if not len(marked):
-        return b""
+        return []
     runs: Counter[bytes] = Counter()
     for raw in toxic:
         own = _grams(raw)
@@ -105,10 +128,11 @@ def _toxic_segments(toxic: list[bytes], ordinary: list[bytes]) -> bytes:
         begins = np.concatenate((hit[:1], hit[cut + 1]))
         ends = np.concatenate((hit[cut], hit[-1:])) + GRAM
         for a, b in zip(begins.tolist(), ends.tolist()):
-            lead = b" " if raw[a:a + 1] == b" " else b""
-            for word in raw[a:b].split(b" "):
+            words = [w for w in raw[a:b].split(b" ")]
+            # a word keeps the spaces that the run holds
+            for k, word in enumerate(words):
                 if len(word) >= GRAM - 1:
-                    runs[lead + word + b" "] += 1
+                    runs[b" " * (k > 0) + word + b" " * (k < len(words) - 1)] += 1
     wanted = {int(g).to_bytes(GRAM, "big") for g in marked}
     seen: set[bytes] = set()
     packed, size = [], 0
@@ -118,7 +142,20 @@ def _toxic_segments(toxic: list[bytes], ordinary: list[bytes]) -> bytes:
             seen |= own
             packed.append(run)
             size += len(run)
-    return b"".join(reversed(packed))
+    return packed[::-1]
+
+
+def _dictionaries(toxic: list[bytes], ordinary: list[bytes], toxic_contexts: list,
+                  ordinary_contexts: list) -> tuple[bytes, bytes]:
+    segments = _toxic_segments(toxic, toxic_contexts, ordinary_contexts)
+    bodies = {s.strip()[:BODY] for s in segments}
+    every = [w for raw in ordinary for w in _windows(raw)]
+    windows = [w for w in every if not any(b in w for b in bodies)] or every
+    try:
+        base = zstandard.train_dictionary(BASE_BYTES + 1024, windows).as_bytes()[-BASE_BYTES:]
+    except zstandard.ZstdError:          # too little text to train on: take it as it is
+        base = b"".join(windows)[:BASE_BYTES]
+    return b"".join(segments) + base, base
 
 
 def _windows(raw: bytes) -> list[bytes]:
@@ -185,9 +222,8 @@ def _logistic(a: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
 
 
 def fit_texts(toxic: list[str], ordinary: list[str], counts: tuple[int, int] | None = None) -> Model:
-    """Model from labelled texts; every second text of a class calibrates.
-    ``counts`` are the toxic and ordinary rows the texts stand for (by default the
-    texts themselves).
+    """Model from labelled texts. ``counts`` are the toxic and ordinary rows the texts
+    stand for (by default the texts themselves).
 
     With fewer than four texts in a class nothing can be learned: the weights
     are 0 and every score is the share of toxic texts (0 when there are none).
@@ -199,27 +235,27 @@ def fit_texts(toxic: list[str], ordinary: list[str], counts: tuple[int, int] | N
         share = min(max(share, 1e-6), 1 - 1e-6)
         return Model(b" ", b" ", (0.0,) * (GAINS[1] - GAINS[0] + 1),
                      (0.0, 0.0, float(np.log(share / (1 - share)))))
-    windows = [w for raw in o[::2] for w in _windows(raw)]
-    try:
-        base = zstandard.train_dictionary(BASE_BYTES + 1024, windows).as_bytes()[-BASE_BYTES:]
-    except zstandard.ZstdError:          # too little text to train on: take it as it is
-        base = b"".join(windows)[:BASE_BYTES]
-    segments = _toxic_segments(t[::2], o[::2])
-    gains = Gains(segments + base, base)
-    size = GAINS[1] - GAINS[0] + 1
-    seen = [[gains(raw) for raw in texts] for texts in (t[1::2], o[1::2])]
+    counted = [[_contexts(raw) for raw in texts] for texts in (t, o)]
+    size, none = GAINS[1] - GAINS[0] + 1, 1 - GAINS[0]
+    seen: list[list[np.ndarray]] = [[], []]
+    for k in (0, 1):
+        gains = Gains(*_dictionaries(t[k::2], o[k::2], *(c[k::2] for c in counted)))
+        for texts, found in zip((t, o), seen):
+            found += [gains(raw) for raw in texts[1 - k::2]]
     hist = np.stack([np.bincount(np.concatenate(x), minlength=size) for x in seen]).astype(float)
-    # ratios shrink to the pooled share where few windows have a gain; only
-    # windows that compress better under the toxic dictionary are evidence
+    # windows without a gain are one kind; ratios shrink to the pooled share where
+    # few windows have a gain
+    hist = np.concatenate((hist[:, :none].sum(1, keepdims=True), hist[:, none:]), axis=1)
     pooled = hist.sum(0) / hist.sum()
     own = (hist + PRIOR_WINDOWS * pooled) / (hist.sum(1, keepdims=True) + PRIOR_WINDOWS)
     ratio = np.log(np.maximum(own[0], 1e-12) / np.maximum(own[1], 1e-12))
-    weights = np.where(np.arange(size) + GAINS[0] > 0, np.maximum(ratio, 0), 0.0)
+    weights = np.concatenate((np.full(none, min(ratio[0], 0.0)), np.maximum(ratio[1:], 0.0)))
     x = np.array([_features(g, weights) for group in seen for g in group])
     sizes = [len(seen[0]), len(seen[1])]
     y = np.repeat([1.0, 0.0], sizes)
     weight = np.repeat([share * sum(sizes) / sizes[0], (1 - share) * sum(sizes) / sizes[1]], sizes)
-    return Model(segments + base, base, tuple(weights.tolist()), tuple(_logistic(x, y, weight).tolist()))
+    return Model(*_dictionaries(t, o, *counted), tuple(weights.tolist()),
+                 tuple(_logistic(x, y, weight).tolist()))
 
 
 def _training_labels(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
