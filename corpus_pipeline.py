@@ -4,6 +4,10 @@ Every stage takes (spark, docs, sf_dir), works on all that its predecessor kept
 and returns a DataFrame with the columns of documents (the last: token ids);
 ``run`` writes each result as Parquet to the shared folder and reads it again, so
 a lost executor costs at most the stage at hand.
+
+In every stage: extra columns, whatever their names, are carried along (the last
+returns ids and tokens only); repeated rows are rows of their own; an empty table gives
+an empty table with the same columns; whole texts count, however long.
 """
 
 from __future__ import annotations
@@ -20,14 +24,19 @@ FIGURES = "__stage_figures"
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored as toxic go."""
+    """Documents scored as toxic go. NULL, empty and blank texts have no windows and stay
+    unless the share of toxic labels alone makes them toxic; the verdict on a long text
+    follows its rate of toxic windows, not its length. Labels that are NULL, not 0 or 1,
+    or of unknown ids teach nothing; without labels no document goes."""
     ship(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.accepted(docs, model)
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the one with the least id stays."""
+    """Of each group of near-duplicates the one with the least id stays (NULL counts as
+    the least, equal ids go by the hash of their texts). Documents with fewer than one
+    shingle are in no group; of rows equal in id and text one stays."""
     ship(spark)
     return jaccard_join.first_of_groups(docs)
 
@@ -42,14 +51,16 @@ def suffix_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents contaminated with benchmark passages go."""
+    """Documents contaminated with benchmark passages go. NULL and empty texts hold none
+    and stay; rows that share an id, or have none, are judged each on its own text."""
     ship(spark)
     judged = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"), carry=FIGURES)
     return judged.where(~F.col(f"{FIGURES}.contaminated")).select(docs.columns)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, with their digests."""
+    """Token ids of each document, with their digests. NULL and empty texts have no
+    tokens; NULL ids stay NULL."""
     import public_tokenizers
 
     ship(spark)
