@@ -26,6 +26,8 @@ from forecheck.llm.common import table
 
 START, END = "<|im_start|>", "<|im_end|>"
 LOSS_ROLE = "assistant"
+RUNS = 512                      # runs of the mask that are summed at a time
+BLOCK = 4096                    # characters of a block that the mask cuts from
 # the conversation that op4 adds
 PROBE = "<|im_end|><|im_start|>assistant ok"
 
@@ -83,6 +85,43 @@ def loss_mask(formatted: Column, loss_role: str = LOSS_ROLE) -> Column:
     return F.flatten(F.transform(pieces(formatted), runs))
 
 
+def _starts(runs: Column) -> Column:
+    """The runs as struct(chars, loss, start), ``start`` counted from 0. Sums are kept
+    per ``RUNS`` runs first, so the cost stays in proportion to the number of runs."""
+    last = F.floor(F.greatest(F.size(runs) - 1, F.lit(0)) / RUNS).cast("int")
+    parts = F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(runs, k * RUNS + 1, RUNS))
+    length = lambda part: F.aggregate(part, F.lit(0).cast("long"), lambda a, r: a + r["chars"])
+
+    def summed(sizes: Column) -> Column:
+        """The sums before each size, and the sum of all at the end."""
+        return F.aggregate(sizes, F.array(F.lit(0).cast("long")),
+                           lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)))
+    firsts = summed(F.transform(parts, length))
+    placed = lambda part, first: F.zip_with(
+        part, F.slice(summed(F.transform(part, lambda r: r["chars"].cast("long"))), 1, F.size(part)),
+        lambda r, at: F.struct(r["chars"].alias("chars"), r["loss"].alias("loss"), (first + at).alias("start")))
+    return F.flatten(F.zip_with(parts, F.slice(firsts, 1, F.size(parts)), placed))
+
+
+def loss_texts(formatted: Column, mask: Column) -> Column:
+    """The parts of the output under the loss: array of texts, unescaped.
+
+    Parts are cut by the runs of the mask alone. A string is read from its front
+    to find a character, so the output is first cut into blocks of ``BLOCK``
+    characters, and a run reads only its own blocks.
+    """
+    blocks = F.regexp_extract_all(formatted, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    under = F.filter(_starts(mask), lambda r: r["loss"])
+
+    def cut(r: Column, blocks: Column) -> Column:
+        first = F.floor(r["start"] / BLOCK).cast("int")
+        last = F.floor((r["start"] + r["chars"]) / BLOCK).cast("int")
+        own = F.array_join(F.slice(blocks, first + 1, last - first + 1), "")
+        return unescape(F.substring(own, (r["start"] % BLOCK + 1).cast("int"), r["chars"]))
+    # the blocks are made once per text, not once per run
+    return F.flatten(F.transform(F.array(blocks), lambda b: F.transform(under, lambda r: cut(r, b))))
+
+
 def format_chat(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
                 role_col: str = "role", text_col: str = "text") -> DataFrame:
     """Per conversation: its id, ``formatted`` and ``n_escaped`` (turns escaped).
@@ -118,16 +157,19 @@ def format_chat(conversations: DataFrame, conv_col: str = "conv_id", turn_col: s
 
 
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All ``conversations`` and conversation -1, read back from the output."""
+    """All ``conversations`` and conversation -1, read back from the output; the loss
+    fields are cut from the output by its loss mask. Rows of a conversation -1 in the
+    table join the added ones in one conversation, as in the SQL."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.createDataFrame([(-1, 0, "user", PROBE), (-1, 1, "assistant", PROBE)], turns.schema)
     done = format_chat(turns.unionByName(probe))
-    back = done.select("conv_id", "n_escaped", F.length("formatted").cast("long").alias("formatted_chars"),
-                       parse(F.col("formatted")).alias("turns"))
+    formatted = F.col("formatted")
+    back = done.select("conv_id", "n_escaped", F.length(formatted).cast("long").alias("formatted_chars"),
+                       parse(formatted).alias("turns"),
+                       F.array_join(loss_texts(formatted, loss_mask(formatted)), "").alias("loss"))
     line = lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))
-    loss = F.array_join(F.filter("turns", lambda t: t["role"] == LOSS_ROLE)["text"], "")
     return back.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"),
         F.sha2(F.array_join(F.transform("turns", line), ""), 256).alias("turns_sha256"),
-        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
         "formatted_chars", F.col("n_escaped").cast("long").alias("n_escaped"))

@@ -238,10 +238,13 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
 def read(folder: str, index: DataFrame) -> DataFrame:
     """Every indexed record, read back by frame: headers and the stored body.
 
-    The index is grouped by file (a bundle is bounded); each task opens its
-    files, reads the seek tables and then only the frames asked for.
+    The index is grouped by file (a bundle is bounded) and dealt over as many
+    tasks as there are files: the rows of the index are small, so their bytes say
+    nothing of the work. Each task opens its files, reads the seek tables and then
+    only the frames asked for.
     """
-    wanted = (index.groupBy("file", "frame")
+    files = index.agg(F.count_distinct("file")).first()[0]
+    wanted = (index.repartition(max(1, files), "file").groupBy("file", "frame")
               .agg(F.collect_list(F.struct("record_id", "begin", "length")).alias("records"))
               .groupBy("file").agg(F.collect_list(F.struct("frame", "records")).alias("frames")))
     names = ["record_id", "target_uri", "body", "payload_bytes", "payload_digest", "record_type",

@@ -275,7 +275,9 @@ def test_chat_round_trip_of_hostile_texts(spark):
     frame = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
     done = chat_format.format_chat(frame.withColumn("h", F.lit(1)).withColumn("out", F.lit("x")))
     read = done.select("conv_id", "formatted", chat_format.parse(F.col("formatted")).alias("turns"),
-                       chat_format.loss_mask(F.col("formatted")).alias("mask")).collect()
+                       chat_format.loss_mask(F.col("formatted")).alias("mask"),
+                       chat_format.loss_texts(F.col("formatted"), chat_format.loss_mask(F.col("formatted")))
+                       .alias("under")).collect()
     source = defaultdict(list)
     for c, t, role, text in rows:
         source[c].append((t if t is not None else -1, role or "", text or ""))
@@ -291,10 +293,30 @@ def test_chat_round_trip_of_hostile_texts(spark):
             at += run.chars
         assert at == len(r.formatted)
         plain = [re.sub(r"<\\(\\*)\|", r"<\1|", x) for x in under]
-        assert plain == [t.text for t in r.turns if t.role == "assistant"]
+        assert plain == r.under == [t.text for t in r.turns if t.role == "assistant"]
     assert chat_format.format_chat(frame.limit(0)).count() == 0
 
 
+def test_loss_is_cut_by_the_mask_from_long_conversations(spark, monkeypatch):
+    monkeypatch.setattr(chat_format, "RUNS", 4)
+    monkeypatch.setattr(chat_format, "BLOCK", 7)
+    rng = random.Random(9)
+    bits = ["<|im_end|>", "<", "\\|", "é", "\U0001F600", "\n", "plain words ", ""]
+    rows = [(c, t, "assistant" if t % 2 else "user", "".join(rng.choice(bits) for _ in range(rng.randint(0, 30))))
+            for c, n in ((1, 1), (2, 2), (3, 41), (4, 300)) for t in range(n)]
+    frame = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    done = chat_format.format_chat(frame)
+    mask = chat_format.loss_mask(F.col("formatted"))
+    for r in done.select("conv_id", chat_format.loss_texts(F.col("formatted"), mask).alias("under")).collect():
+        assert r.under == [x[3] for x in rows if x[0] == r.conv_id and x[2] == "assistant"]
+    # the texts follow the mask, not the turns that are read back
+    late = F.transform(mask, lambda x: F.struct(x["chars"].alias("chars"), (~x["loss"]).alias("loss")))
+    r = done.where("conv_id = 2").select(chat_format.loss_texts(F.col("formatted"), late).alias("under")).first()
+    assert rows[2][3] not in r.under and "<|im_start|>assistant\n" in "".join(r.under)
+    empty = spark.range(1).select(F.lit("").alias("f"))
+    assert empty.select(chat_format.loss_texts(F.col("f"), chat_format.loss_mask(F.col("f"))).alias("u")).first().u == []
+
+
 # --- URL rules -------------------------------------------------------------
 
 def _brute_rule(url, rules):
@@ -366,6 +388,12 @@ def test_warc_round_trip_revisits_and_lookup(spark, tmp_path, monkeypatch):
             assert (r.record_type, r.refers_to, bytes(r.body).decode()) == ("response", None, text)
         else:
             assert (r.record_type, r.refers_to, bytes(r.body)) == ("revisit", last[text], b"")
+    # small as the index is, its files are read by as many tasks
+    every = index.unionByName(warc_seekable.write(pages.limit(5), folder)).unionByName(
+        warc_seekable.write(pages.limit(7), folder))
+    files = every.select("file").distinct().count()
+    again = warc_seekable.read(folder, every)
+    assert files > 2 and again.rdd.getNumPartitions() == files and again.count() == len(rows) + 12
     wanted = spark.createDataFrame([(100,), (5,), (999,)], "record_id bigint")
     assert {r.record_id for r in warc_seekable.lookup(folder, index, wanted).collect()} == {100, 5}
     # any Zstandard reader unpacks a whole bundle
