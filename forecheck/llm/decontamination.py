@@ -15,8 +15,8 @@ functions only.
   where no rarer term of the window exists.
 * ``contamination`` checks the remaining words of the candidates on the documents
   themselves and counts the words hit.
-* ``proximity_matches`` relaxes the intersection: the rarest terms of a window
-  may be shifted against each other by up to ``slop`` words.
+* ``proximity_matches`` finds near copies: from the postings of a window's rarest
+  terms, a share of its words shifted against each other by up to ``slop`` words.
 
 The test side is small (a benchmark); it is broadcast only after its rows and
 bytes were measured, otherwise the joins shuffle.
@@ -108,31 +108,60 @@ def phrase_candidates(index: DataFrame, planned: DataFrame) -> DataFrame:
             .select("doc", "key", "diagonal"))
 
 
-def proximity_matches(docs: DataFrame, benchmark: DataFrame, slop: int = 5,
+def near_anchors(items: DataFrame, index: DataFrame, share: float) -> DataFrame:
+    """Per window of an item its rarest terms, from which a near match is looked up:
+    item, window (words), least (words that a match needs), place, term.
+
+    A match lacks at most n - least of a window's n words, so it holds one of the
+    n - least + 1 rarest at least. Terms that the corpus lacks are the rarest of all;
+    a window with more of them than a match may lack has no anchor and no match.
+    """
+    counts = index.groupBy("term").agg(F.count(F.lit(1)).alias("postings"))
+    places = (items.select("key", "item", "n", "words", F.explode(
+        F.sequence(F.lit(0), F.size("words") - F.col("n"))).alias("s"))
+        .select("key", "item", "n", "s", F.slice("words", F.col("s") + 1, F.col("n")).alias("window"))
+        .withColumn("least", F.greatest(F.lit(1), F.ceil(F.lit(share) * F.col("n") - 1e-9)).cast("int"))
+        .select("*", F.posexplode("window").alias("place", "term")))
+    ranked = places.join(counts, "term", "left").withColumn("rank", F.row_number().over(
+        W.partitionBy("key", "s").orderBy(F.coalesce("postings", F.lit(0)), "place")))
+    return (ranked.where("rank <= n - least + 1 and postings is not null")
+            .select("item", "window", "least", "place", "term").distinct())
+
+
+def proximity_matches(docs: DataFrame, benchmark: DataFrame, slop: int = 5, share: float = 0.8,
                       id_col: str = "doc_id", text_col: str = "text",
                       item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """Pairs (document, item) where the rarest terms of some window of the item
-    occur shifted against each other by at most ``slop`` words.
-
-    Diagonals fall into two staggered grids of cells 2 * ``slop`` + 2 wide, so any two
-    at most ``slop`` apart share a cell; a cell holds a bounded number of them.
+    """Pairs (document, item) where, for some window of the item, at least ``share`` of
+    its words stand in the document, shifted against each other by at most ``slop``
+    words. Changed, left out and put in words are passed over; one word of the document
+    may stand for several equal words of a window.
+
+    NULL and empty texts match nothing; items without an id give a NULL item; of
+    repeated rows each counts, equal pairs are returned once; empty tables give no rows.
+    Candidates are the postings of the windows' rarest terms, the rest is counted on the
+    documents' own words.
     """
     items = test_items(benchmark, item_col, item_text_col)
     index = build_index(docs, items, id_col, text_col)
-    planned = plan_windows(items, index)
-    width = 2 * slop + 2
-    cells = F.array(F.struct(F.lit(0).alias("grid"), F.floor(F.col("diagonal") / width).alias("cell")),
-                    F.struct(F.lit(1).alias("grid"),
-                             F.floor((F.col("diagonal") + slop + 1) / width).alias("cell")))
-    near = (_hits(index, planned).withColumn("at", F.explode(cells))
-            .groupBy("doc", "key", "at")
-            .agg(F.collect_set(F.struct("place", "diagonal")).alias("got")))
-    close = lambda w: F.exists("got", lambda a: (a["place"] == w["places"][0]) & F.forall(
-        w["places"], lambda p: F.exists("got", lambda b: (b["place"] == p) & (
-            F.abs(b["diagonal"] - a["diagonal"]) <= slop))))
-    return (near.join(_bounded(planned.select("key", "item", "wins")), "key")
-            .where(F.exists("wins", close))
-            .select(F.col("doc").alias(id_col), F.col("item").alias(item_col)).distinct())
+    anchors = stored(near_anchors(items, index, share), "near-anchors")
+    found = (index.join(_bounded(anchors), "term")
+             .groupBy("doc").agg(F.collect_set(F.struct(
+                 "item", "window", "least", (F.col("pos") - F.col("place")).alias("at"))).alias("candidates")))
+    base = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
+    every = (base.join(found, base["id"].eqNullSafe(found["doc"]))
+             .select("id", words(F.col("text")).alias("w"), "candidates"))
+
+    def near(c: Column) -> Column:
+        shifts = F.sequence(F.lit(-slop), F.lit(slop))
+        # per word of the window: at which shifts against the anchor it stands
+        stands = F.transform(c["window"], lambda t, j: F.transform(shifts, lambda e: F.coalesce(
+            F.get("w", c["at"] + j + e) == t, F.lit(False))))
+        enough = lambda rows: F.exists(F.sequence(F.lit(0), F.lit(slop)), lambda x: F.size(
+            F.filter(rows, lambda r: F.array_contains(F.slice(r, x + 1, slop + 1), True))) >= c["least"])
+        return F.exists(F.array(stands), enough)
+
+    matched = F.array_distinct(F.transform(F.filter("candidates", near), lambda c: c["item"]))
+    return every.select(F.col("id").alias(id_col), F.explode(matched).alias(item_col)).distinct()
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",

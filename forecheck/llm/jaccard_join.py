@@ -427,5 +427,6 @@ def first_of_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All ``documents`` against each other."""
-    return jaccard_join(table(spark, sf_dir, "documents"))
+    """All ``documents`` against each other; the hashes of the texts, which only tell
+    rows of equal ids apart, are left out."""
+    return jaccard_join(table(spark, sf_dir, "documents")).drop("text_hash")

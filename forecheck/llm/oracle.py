@@ -232,3 +232,33 @@ FROM positive p JOIN scored s ON p.anchor = s.anchor AND NOT same
 WINDOW ranking AS (PARTITION BY p.anchor, positive ORDER BY score DESC, other_id)
 QUALIFY row_number() OVER ranking <= {hard_negatives.N_NEGATIVES}
 """
+
+# every pair that shares a shingle, exactly; ids are taken as unique
+OP7_JACCARD_JOIN = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, unnest(w) AS t, generate_subscripts(w, 1) AS i, len(w) AS n
+  FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents)),
+shingles AS (
+  SELECT DISTINCT doc_id, concat_ws(' ', t, lead(t, 1) OVER v, lead(t, 2) OVER v, lead(t, 3) OVER v,
+                                    lead(t, 4) OVER v) AS g
+  FROM words WINDOW v AS (PARTITION BY doc_id ORDER BY i) QUALIFY i <= greatest(n - 4, 1)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+  SELECT p.x, p.y, p.c = a.n AND p.c = b.n AS copy
+  FROM (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+        FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2) p
+  JOIN sizes a ON a.doc_id = p.x JOIN sizes b ON b.doc_id = p.y
+  WHERE 5 * p.c >= 4 * (a.n + b.n - p.c)),
+reached AS (
+  SELECT doc_id AS node, doc_id AS root FROM sizes
+  UNION SELECT l.y, r.root FROM reached r JOIN links l ON l.x = r.node),
+groups AS (SELECT node, min(root) AS root FROM reached GROUP BY node),
+linked AS (
+  SELECT x, count(*) AS n_links, count(*) FILTER (copy) AS n_copies, min(y) FILTER (copy) AS copy_id
+  FROM links GROUP BY x)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(l.n_copies, 0) + 1 AS copies,
+       coalesce(l.n_links, 0) AS n_links, least(d.doc_id, coalesce(l.copy_id, d.doc_id)) AS exact_id,
+       coalesce(g.root, d.doc_id) AS group_id, coalesce(g.root, d.doc_id) = d.doc_id AS is_first
+FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN linked l ON l.x = d.doc_id
+LEFT JOIN groups g ON g.node = d.doc_id
+"""

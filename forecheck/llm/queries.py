@@ -42,6 +42,7 @@ ORACLE_SQL: dict[str, str] = {
     "op2_decontamination": oracle.OP2_DECONTAMINATION,
     "op3_prefix_free_dedup": oracle.OP3_PREFIX_FREE_DEDUP,
     "op4_chat_format": oracle.OP4_CHAT_FORMAT,
+    "op7_jaccard_join": oracle.OP7_JACCARD_JOIN,
     "op9_warc": oracle.OP9_WARC,
     "op10_url_rules": oracle.OP10_URL_RULES,
     "op11_bag_search": oracle.OP11_BAG_SEARCH,

@@ -263,6 +263,47 @@ def test_proximity_matches_allow_small_shifts(spark):
     assert {1, 2} <= near and not near & {3, 4}
 
 
+def _near(text, item, slop, share):
+    w, t = (re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (x or "").lower()) for x in (text, item))
+    n = min(len(t), 13)
+    least = max(1, -(-round(share * n * 100) // 100))
+    for s in range(len(t) - n + 1) if n else ():
+        at = [{p - j for p, x in enumerate(w) if x == t[s + j]} for j in range(n)]
+        for d in set().union(*at):
+            if sum(any(d <= x <= d + slop for x in places) for places in at) >= least:
+                return True
+    return False
+
+
+def test_proximity_matches_against_brute_force(spark, odd_docs, no_docs):
+    rng = random.Random(31)
+    vocab = [f"v{k}" for k in range(40)]
+    items = [(k, " ".join(rng.choices(vocab, k=rng.choice([1, 4, 9, 13, 20])))) for k in range(12)]
+    # a word that no document holds, an item without words, one without text or id
+    items += [(20, "nowhere " + " ".join(vocab[:12])), (21, " ,;"), (22, None), (None, " ".join(vocab[5:18]))]
+    rows = []
+    for d in range(120):
+        words = rng.choices(vocab, k=rng.randint(0, 40))
+        if d % 3:
+            near = (rng.choice(items)[1] or "").split()
+            for _ in range(rng.randint(0, 4)):
+                if near:
+                    k = rng.randrange(len(near))
+                    near[k:k + rng.randint(0, 1)] = [rng.choice(["put", "in", *vocab])] * rng.randint(0, 2)
+            words[len(words) // 2:len(words) // 2] = near
+        rows.append((d, " ".join(words)))
+    rows += [(200, None), (201, ""), (None, " ".join(vocab[5:18])), (3, " ".join(vocab[:12]))]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    docs = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id bigint, text string, at int, item string")
+    for slop, share in ((3, 0.8), (0, 1.0), (5, 0.6)):
+        got = decontamination.proximity_matches(docs, bench, slop, share).collect()
+        want = {(d, None if i is None else str(i)) for d, t in rows for i, x in items if _near(t, x, slop, share)}
+        assert {tuple(r) for r in got} == want and len(got) == len(want)
+        assert (None, None) in want and (3, "20") in want if share < 1 else want
+    assert decontamination.proximity_matches(no_docs, bench).count() == 0
+    assert decontamination.proximity_matches(odd_docs, bench.limit(0)).count() == 0
+
+
 # --- chat formatting -------------------------------------------------------
 
 def test_chat_round_trip_of_hostile_texts(spark):
