@@ -1,6 +1,7 @@
 """Large scans of order lines are dealt out by their size; the rows stay the same."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -49,6 +50,15 @@ def test_order_lines_are_dealt_out_by_size(spark, order_tables, monkeypatch):
     assert total > 20_000 and most < total / 8, (most, total)
 
 
+def test_both_sides_of_the_chain_s_order_join_follow_the_size(spark, order_tables, monkeypatch):
+    size = relational.estimated_bytes(spark.read.parquet(f"{order_tables}/lineitem.parquet"))
+    monkeypatch.setattr(relational, "SPREAD_MIN_BYTES", 0, raising=False)
+    monkeypatch.setattr(relational, "SPREAD_TASK_BYTES", size / 24, raising=False)
+    r = ForecastValidation(Tables.from_driver_tables(spark, order_tables), fixtures.PARAMS)
+    plan = r.chain._jdf.queryExecution().executedPlan().toString()
+    assert re.findall(r"hashpartitioning\([lo]_orderkey#\d+L, (\d+)\)", plan) == ["24", "24"]
+
+
 def test_dealt_out_chain_equals_plain_chain(spark, order_tables, monkeypatch):
     def results():
         r = ForecastValidation(Tables.from_driver_tables(spark, order_tables), fixtures.PARAMS)
