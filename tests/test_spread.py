@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from forecheck.operators import relational
+from forecheck.operators import relational, skew, supply
 from forecheck.plans.report import ForecastValidation
 from forecheck.sources import fixtures
 from forecheck.sources.tables import Tables
@@ -59,6 +59,36 @@ def test_both_sides_of_the_chain_s_order_join_follow_the_size(spark, order_table
     assert re.findall(r"hashpartitioning\([lo]_orderkey#\d+L, (\d+)\)", plan) == ["24", "24"]
 
 
+def test_shipment_and_line_joins_of_the_chain_follow_the_size(spark, order_tables, monkeypatch):
+    size = relational.estimated_bytes(spark.read.parquet(f"{order_tables}/lineitem.parquet"))
+    monkeypatch.setattr(relational, "SPREAD_MIN_BYTES", 0)
+    monkeypatch.setattr(relational, "SPREAD_TASK_BYTES", size / 24)
+    tables = Tables.from_driver_tables(spark, order_tables)
+
+    def join_tasks(chain, columns):
+        plan = chain._jdf.queryExecution().executedPlan().toString()
+        keys = ", ".join(rf"{c}#\d+L?" for c in columns)
+        return {int(n) for n in re.findall(rf"hashpartitioning\({keys}, (\d+)\)", plan)}
+
+    line, shipment = ("l_orderkey|po_number", "sku"), ("l_orderkey|po_number", "sku|product_code", r"\w+", r"\w+")
+    line, shipment = [[f"(?:{c})" for c in key] for key in (line, shipment)]
+    r = ForecastValidation(tables, fixtures.PARAMS)
+    assert join_tasks(r.chain, line) == join_tasks(r.chain, shipment) == {24}
+    # a hot key of the packing list is left to the salts and adaptive execution
+    hot = skew.HeavyKeys(spark.createDataFrame([(1, "S001", 2)], "po_number long, sku string, salts int"),
+                         supply.LINE_KEY)
+    r = ForecastValidation(tables, fixtures.PARAMS)
+    r._heavy = {"heavy_lines": hot, "heavy_shipments": None}
+    assert 24 not in join_tasks(r.chain, shipment)
+
+
+def test_only_views_deal_the_order_joins_out(spark, order_tables, monkeypatch):
+    assert Tables.from_driver_tables(spark, order_tables).order_tasks is None
+    monkeypatch.setattr(relational, "SPREAD_MIN_BYTES", 0)
+    assert Tables.from_driver_tables(spark, order_tables).order_tasks >= 1
+    assert Tables.from_catalog(spark, {}).order_tasks is None
+
+
 def test_dealt_out_chain_equals_plain_chain(spark, order_tables, monkeypatch):
     def results():
         r = ForecastValidation(Tables.from_driver_tables(spark, order_tables), fixtures.PARAMS)
